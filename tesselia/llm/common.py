@@ -137,3 +137,12 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21) ->
         to = max(at + 1, int(np.searchsorted(total, done + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
+
+
+def filter_by(big: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 2_000_000) -> DataFrame:
+    """Semi or anti join of wide rows with a table of keys, which must be cheap to count (a written table).
+
+    Up to ``most`` keys are broadcast, after counting them; more are joined by a shuffle of both sides.
+    """
+    keys = keys.select(*on)
+    return big.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, token_count, url_filter
+from . import bpe, exact_dedup, token_count, url_filter
 
 
 def vocabulary(name: str) -> str:
@@ -35,6 +35,11 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -57,5 +62,11 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-QUERIES = {"op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe}
-ORACLE_SQL = {"op2_url_filter": OP2_SQL}
+OP7_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+QUERIES = {"op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe}
+ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op7_exact_dedup": OP7_SQL}
