@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, token_count, url_filter
+from . import bpe, exact_dedup, secrets, token_count, url_filter
 
 
 def vocabulary(name: str) -> str:
@@ -31,6 +31,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", F.when(own, F.col("rule")).alias("rule"), "verdict")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
@@ -68,5 +72,5 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe}
 ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op7_exact_dedup": OP7_SQL}
