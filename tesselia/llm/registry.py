@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, secrets, token_count, url_filter
+from . import bpe, exact_dedup, quality, secrets, token_count, toxicity, url_filter
 
 
 def vocabulary(name: str) -> str:
@@ -48,6 +48,18 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), where=fold != 2)
+    return toxicity.score_toxicity(docs, model, 0.3).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 OP2_SQL = f"""
 WITH parts AS (
   SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
@@ -72,5 +84,5 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
 ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op7_exact_dedup": OP7_SQL}
