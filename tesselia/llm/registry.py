@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, quality, secrets, token_count, toxicity, url_filter
+from . import bpe, exact_dedup, near_dedup, quality, secrets, token_count, toxicity, url_filter
 
 
 def vocabulary(name: str) -> str:
@@ -35,6 +35,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
@@ -84,5 +88,21 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
-ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op7_exact_dedup": OP7_SQL}
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+), edge AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), reach AS (SELECT doc_id AS d, doc_id AS c FROM documents UNION SELECT edge.b, reach.c FROM reach JOIN edge ON edge.a = reach.d)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id, r.c = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(c) AS c FROM reach GROUP BY d) r ON r.d = d.doc_id
+"""
+
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op5_near_dedup": op5_near_dedup, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
+ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op5_near_dedup": OP5_SQL, "op7_exact_dedup": OP7_SQL}

@@ -58,7 +58,7 @@ def swap_penalty(x: tuple[np.ndarray, np.ndarray, int], identity: np.ndarray, st
     return grad
 
 
-def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "toxic", max_rows: int = 6000, width: int = 8192, swap: float = 30.0, l2: float = 1e-3) -> ToxicModel:
+def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "toxic", max_rows: int = 6000, width: int = 256, swap: float = 30.0, l2: float = 1e-4) -> ToxicModel:
     """``where`` is a condition on ``doc_id`` of the labelled rows that may be learned from."""
     chosen = sample_labels(labels, label, max_rows, where)
     rows = gather(texts(docs).join(F.broadcast(chosen), "doc_id"), True, ["label"])
