@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import ascii_lower, map_arrow, mix64, slices, span_hashes, texts, utf8_buffers
+from .common import map_arrow, mix64, slices, span_hashes, texts, utf8_buffers
 from .linear import _CLASS, token_spans
 
 SIZES = (8, 16, 32)
@@ -30,8 +31,7 @@ _PAD = np.uint64(0)
 
 def word_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a small batch and, for each row, the index of its first (n + 1 entries)."""
-    raw, offsets = utf8_buffers(batch.column("text"))
-    raw = ascii_lower(raw)
+    raw, offsets = utf8_buffers(pc.utf8_lower(batch.column("text")))
     s, e, doc = token_spans(raw, offsets)
     some = _CLASS[raw[s]] == 1
     h = span_hashes(raw, s[some], e[some]) | np.uint64(1)
