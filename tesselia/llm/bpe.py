@@ -302,6 +302,11 @@ def encode_digests(docs: DataFrame, vocab: str) -> DataFrame:
     return _encoded(docs, vocab, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", _digest)
 
 
+def encode_ids(docs: DataFrame, vocab: str) -> DataFrame:
+    """As encode_texts, with SHA-256 of the decoded text in place of it."""
+    return _encoded(docs, vocab, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", _ids)
+
+
 def decode_ids(encoded: DataFrame, vocab: str, ids_col: str = "ids") -> DataFrame:
     """doc_id and the decoded text of arrays of ids; null counts as empty, ids out of the vocabulary are left out."""
 
@@ -320,6 +325,10 @@ def _full(ids: bytes, decoded: str) -> tuple:
     return list(struct.unpack(f"<{len(ids) // 4}I", ids)), decoded
 
 
+def _ids(ids: bytes, decoded: str) -> tuple:
+    return _full(ids, decoded)[0], sha256_hex(decoded.encode())
+
+
 def _digest(ids: bytes, decoded: str) -> tuple:
     return sha256_hex(ids), sha256_hex(decoded.encode())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, decontam, exact_dedup, near_dedup, quality, secrets, suffix_dedup, token_count, toxicity, url_filter
@@ -112,5 +113,5 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id, r.
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(c) AS c FROM reach GROUP BY d) r ON r.d = d.doc_id
 """
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op3_decontaminate": op3_decontaminate, "op4_suffix_dedup": op4_suffix_dedup, "op5_near_dedup": op5_near_dedup, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality}
+QUERIES = {"op1_secret_scan": op1_secret_scan, "op7_exact_dedup": op7_exact_dedup, "op2_url_filter": op2_url_filter, "op3_decontaminate": op3_decontaminate, "op4_suffix_dedup": op4_suffix_dedup, "op5_near_dedup": op5_near_dedup, "op6_token_count": op6_token_count, "op8_bpe": op8_bpe, "op9_toxicity": op9_toxicity, "op10_quality": op10_quality, "pipeline": corpus_pipeline.run}
 ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op5_near_dedup": OP5_SQL, "op7_exact_dedup": OP7_SQL}
