@@ -1 +1 @@
-
+"""Operators over tables of slides, patches, pixels and runs."""
