@@ -1 +1 @@
-
+"""An addition: run events as a stream."""
