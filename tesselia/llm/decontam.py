@@ -183,8 +183,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anc
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anchors: int = 6, repeats: int = 6, samples: int = 5, min_words: int = 6, block: int = 20_000) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, columns as they were. One pass, no shuffle."""
-    out = docs
-    schema = ", ".join(f"`{k}` {t}" for k, t in docs.dtypes)
+    names = docs.columns
+    at_text = names.index("text")
+    out = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    schema = ", ".join(f"`{k}` {t}" for k, t in out.dtypes)
     for sent, how in _indexes(docs.sparkSession, benchmark, anchors, repeats, samples, max_edit, min_words, block):
 
         def make(sent=sent, how=how):
@@ -193,7 +195,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anc
             def f(batch: pa.RecordBatch) -> pa.RecordBatch:
                 clean = np.ones(batch.num_rows, np.bool_)
                 at = 0
-                only = pa.RecordBatch.from_arrays([batch.column("text").cast(pa.string()).fill_null("")], ["text"])
+                only = pa.RecordBatch.from_arrays([batch.column(at_text).cast(pa.string()).fill_null("")], ["text"])
                 for part in slices(only):
                     for k, _ in index.search(*word_hashes(part)):
                         clean[at + k] = False
@@ -203,4 +205,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anc
             return f
 
         out = map_arrow(out, make, schema)
-    return out
+    return out.toDF(*names)
