@@ -78,7 +78,7 @@ def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024
     tiles = planning.supertiles(kept, cfg.schedule.supertile_px, m.patch_px)
     frames = planning.output_frames(slides, m.target_mpp, cfg.schedule.use_bounds).withColumns({"level_mpp_x": F.col("mpp_x"), "level_mpp_y": F.col("mpp_y")})
     ready = planning.read_addresses(tiles, frames).withColumn("canvas", F.col("slide_id"))
-    probs = scoring.score_supertiles(src.read_regions(ready.repartition("slide_id", "kx", "ky")), m.patch_px, m.batch_size, m.apply_sigmoid, model_path)
+    probs = scoring.score_supertiles(src.read_regions(ready.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slide_id", "kx", "ky")), m.patch_px, m.batch_size, m.apply_sigmoid, model_path)
     return stitching.paint_chunks(probs, m.patch_px, m.halo_px, cfg.schedule.supertile_px, chunk, m.threshold)
 
 

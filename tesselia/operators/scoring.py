@@ -121,12 +121,14 @@ def score_supertiles(tiles: DataFrame, patch: int, batch: int = 8, apply_sigmoid
     """Probabilities of each patch of each supertile.
 
     ``tiles``: canvas, tile_x, tile_y, tile_w, tile_h, patches (array of structs out_y, out_x), image (binary, RGB rows) and out_w, out_h. One
-    supertile is in memory at a time; batches stay within it.
+    supertile is in memory at a time; batches stay within it, and results leave in frames of bounded size.
     """
     ship(tiles.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = scorer_for(model_path)
+        names = ["canvas", "out_x", "out_y", "out_w", "out_h", "probs"]
+        rows, held = [], 0
         for pdf in frames:
             for r in pdf.itertuples():
                 image = np.frombuffer(r.image, np.uint8).reshape(r.tile_h, r.tile_w, 3)
@@ -134,8 +136,14 @@ def score_supertiles(tiles: DataFrame, patch: int, batch: int = 8, apply_sigmoid
                 for i in range(0, len(places), batch):
                     some = places[i : i + batch]
                     crops = np.stack([image[y - r.tile_y : y - r.tile_y + patch, x - r.tile_x : x - r.tile_x + patch] for y, x in some])
-                    probs = to_probs(score(crops), patch, apply_sigmoid)
-                    yield pd.DataFrame({"canvas": r.canvas, "out_x": [x for _, x in some], "out_y": [y for y, _ in some], "out_w": r.out_w, "out_h": r.out_h, "probs": [p.astype(np.float32).tobytes() for p in probs]})
+                    probs = to_probs(score(crops), patch, apply_sigmoid).astype(np.float32)
+                    rows += [(r.canvas, x, y, r.out_w, r.out_h, p.tobytes()) for (y, x), p in zip(some, probs)]
+                    held += probs.nbytes
+                    if held >= 1 << 25:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     kind = dict(tiles.dtypes)["canvas"]
     return tiles.select("canvas", "tile_x", "tile_y", "tile_w", "tile_h", "patches", "image", "out_w", "out_h").mapInPandas(run, f"canvas {kind}, out_x int, out_y int, out_w int, out_h int, probs binary")

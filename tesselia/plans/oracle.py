@@ -71,8 +71,8 @@ def _text(x: str) -> str:
     return "coalesce(" + ", ".join(f"try_cast(nullif(regexp_extract({x}, '(?i){p}', 1), '') AS DOUBLE)" for p in MPP_PATTERNS) + ")"
 
 
-THUMBS = f"""{SLIDES}, spot AS (SELECT slide_id, tx::INT AS tx, ty::INT AS ty, ((slide_id // 100) % 7) AS sh FROM slides, (SELECT unnest(range({v.THUMB_W})) AS tx), (SELECT unnest(range({v.THUMB_H})) AS ty) WHERE slide_id % 100 = 0),
-kinds AS (SELECT *, tx >= 10 + sh AND tx < 40 + sh AND ty >= 8 AND ty < 34 AS rect, ty >= 38 AND ty < 44 AS band, (tx * 31 + ty * 17 + slide_id * 13) % 256 AS nz FROM spot),
+THUMBS = f"""{SLIDES}, spot AS (SELECT slide_id, tx::INT AS tx, ty::INT AS ty, slide_id % 7 AS sh FROM slides, (SELECT unnest(range({v.THUMB_W})) AS tx), (SELECT unnest(range({v.THUMB_H})) AS ty)),
+kinds AS (SELECT *, tx >= 2 + sh AND tx < 9 + sh AND ty >= 2 AND ty < 8 AS rect, ty >= 9 AND ty < 11 AS band, (tx * 31 + ty * 17 + slide_id * 13) % 256 AS nz FROM spot),
 thumbs AS (SELECT slide_id, tx, ty, {", ".join(f"(CASE WHEN rect THEN {full} WHEN band THEN nz * {k} % 256 ELSE 250 + (tx + ty) % 6 END)::INT AS {n}" for n, full, k in (("r", 180, 1), ("g", 60, 7), ("b", 120, 3)))} FROM kinds),
 hsv AS (SELECT slide_id, tx, ty, ((r * 19595 + g * 38470 + b * 7471 + 32768) >> 16)::INT AS gray,
   (CASE WHEN greatest(r, g, b) = least(r, g, b) THEN 0 ELSE floor(((greatest(r, g, b) - least(r, g, b))::DOUBLE / greatest(r, g, b)::DOUBLE)::FLOAT::DOUBLE * 255) END)::INT AS sat, greatest(r, g, b) AS val FROM thumbs)"""
@@ -96,7 +96,7 @@ def _morphology() -> str:
 
 CLEAN = f"{MASK}, {_morphology()}"
 FRACTION = f"""{CLEAN}, {CROPS.removeprefix(SLIDES + ", ")}, rect AS (SELECT *, least(greatest(floor(lx1 * {v.THUMB_W} / width0), 0), {v.THUMB_W})::INT AS tx1, least(greatest(ceil(lx2 * {v.THUMB_W} / width0), 0), {v.THUMB_W})::INT AS tx2,
-  least(greatest(floor(ly1 * {v.THUMB_H} / height0), 0), {v.THUMB_H})::INT AS ty1, least(greatest(ceil(ly2 * {v.THUMB_H} / height0), 0), {v.THUMB_H})::INT AS ty2 FROM planned WHERE slide_id % 100 = 0),
+  least(greatest(floor(ly1 * {v.THUMB_H} / height0), 0), {v.THUMB_H})::INT AS ty1, least(greatest(ceil(ly2 * {v.THUMB_H} / height0), 0), {v.THUMB_H})::INT AS ty2 FROM planned),
 frac AS (SELECT r.slide_id, r.out_x, r.out_y, any_value(r.edge) AS edge, any_value(r.padded) AS padded, coalesce(avg(m.mask::DOUBLE), 0.0) AS fraction FROM rect r LEFT JOIN mask8 m
   ON m.slide_id = r.slide_id AND m.tx >= tx1 AND m.tx < tx2 AND m.ty >= ty1 AND m.ty < ty2 GROUP BY 1, 2, 3)"""
 S, SH, SS, SC, ST = v.SMALL, v.SMALL_HALO, v.SMALL_STRIDE, v.CANVAS, v.SMALL_TILE

@@ -177,7 +177,7 @@ def q_integral(s, sf):
 
 
 def _fractions(s, sf):
-    some = planned(s, sf).filter("slide_id % 100 = 0")
+    some = planned(s, sf)
     return ts.with_fraction(some, ts.integral_arrays(q_integral(s, sf)))
 
 
@@ -186,7 +186,7 @@ def q_tissue_fraction(s, sf):
 
 
 def q_gated_plan(s, sf):
-    some = planned(s, sf).filter("slide_id % 100 = 0")
+    some = planned(s, sf)
     return pl.planning_summary(some, ts.tissue_gate(some, ts.integral_arrays(q_integral(s, sf)), 0.2), v.TILE)
 
 
@@ -250,17 +250,18 @@ def q_stitch_chunks(s, sf):
 
 
 def q_score_mapinpandas(s, sf):
-    """Supertiles of synthetic pixels through the built-in scorer."""
-    t = pl.supertiles(pl.patch_grid(frames(s, sf).filter("slide_id % 100 = 0"), v.PATCH, v.STRIDE), v.TILE, v.PATCH).withColumns({"canvas": F.col("slide_id"), "out_w": F.lit(0), "out_h": F.lit(0)})
+    """Supertiles of synthetic pixels of every slide, at 16 microns a pixel, through the built-in scorer."""
+    t = pl.supertiles(pl.patch_grid(pl.output_frames(v.slides(s, sf), 16.0), 32, 24), 64, 32).withColumns({"canvas": F.col("slide_id"), "out_w": F.lit(0), "out_h": F.lit(0)})
 
     def paint(batches):
         for pdf in batches:
             images = [((np.add.outer(np.arange(h) * 3 + c, np.arange(w) * 5)[..., None] + np.array([0, 40, 80])) % 256).astype(np.uint8).tobytes() for h, w, c in zip(pdf.tile_h, pdf.tile_w, pdf.canvas)]
             yield pdf.assign(image=images)
 
-    some = t.select("canvas", "tile_x", "tile_y", "tile_w", "tile_h", "patches", "out_w", "out_h")
+    n = int(s.conf.get("spark.sql.shuffle.partitions"))
+    some = t.repartition(n, "slide_id", "kx", "ky").select("canvas", "tile_x", "tile_y", "tile_w", "tile_h", "patches", "out_w", "out_h")
     schema = ", ".join(f"`{k}` {x}" for k, x in some.dtypes) + ", image binary"
-    probs = sc.score_supertiles(some.mapInPandas(paint, schema), v.PATCH)
+    probs = sc.score_supertiles(some.mapInPandas(paint, schema), 32)
     return probs.select("canvas", "out_x", "out_y", F.length("probs").alias("n_bytes"), F.sha2("probs", 256).alias("probs_sha256"))
 
 

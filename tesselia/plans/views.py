@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 TARGET, PATCH, STRIDE, HALO, TILE = 0.88, 512, 384, 64, 1024
 #: Logit patches: size, halo, stride and canvas side.
 SMALL, SMALL_HALO, SMALL_STRIDE, CANVAS, SMALL_TILE = 8, 2, 4, 30, 16
-THUMB_W, THUMB_H = 64, 48
+THUMB_W, THUMB_H = 16, 12
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -49,12 +49,13 @@ def levels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def thumbs(spark: SparkSession, sf: str) -> DataFrame:
-    s = slides(spark, sf).filter("slide_id % 100 = 0").select("slide_id")
+    """A thumbnail of every slide: near-white, with a coloured rectangle and a band of noise."""
+    s = slides(spark, sf).select("slide_id")
     g = s.withColumn("ty", F.explode(F.sequence(F.lit(0), F.lit(THUMB_H - 1)))).withColumn("tx", F.explode(F.sequence(F.lit(0), F.lit(THUMB_W - 1))))
-    shift = F.expr("(slide_id div 100) % 7")
-    rect = (F.col("tx") >= 10 + shift) & (F.col("tx") < 40 + shift) & (F.col("ty") >= 8) & (F.col("ty") < 34)
+    shift = F.col("slide_id") % 7
+    rect = (F.col("tx") >= 2 + shift) & (F.col("tx") < 9 + shift) & (F.col("ty") >= 2) & (F.col("ty") < 8)
     noise = (F.col("tx") * 31 + F.col("ty") * 17 + F.col("slide_id") * 13) % 256
-    band = (F.col("ty") >= 38) & (F.col("ty") < 44)
+    band = (F.col("ty") >= 9) & (F.col("ty") < 11)
     colour = lambda full, k: F.when(rect, full).when(band, noise * k % 256).otherwise(250 + (F.col("tx") + F.col("ty")) % 6).cast("int")
     return g.select("slide_id", "tx", "ty", colour(180, 1).alias("r"), colour(60, 7).alias("g"), colour(120, 3).alias("b"))
 
