@@ -46,32 +46,46 @@ def _mpp(x: Column, y: Column, source: str) -> Column:
     return F.struct(x.alias("mpp_x"), y.alias("mpp_y"), F.lit(source).alias("mpp_source"))
 
 
+def lower_keys(props: Column) -> Column:
+    return F.transform_keys(props, lambda k, _: F.lower(k))
+
+
+#: Keys whose values are numbers, in the order of the arms that read them. Fixed values.
+X_KEYS = ("openslide.mpp-x", "mpp_x", "mppx")
+Y_KEYS = ("openslide.mpp-y", "mpp_y", "mppy")
+POWER_KEYS = ("openslide.objective-power", "aperio.appmag", "hamamatsu.sourcelens", "objective_power")
+NUMBER_KEYS = (*X_KEYS, *Y_KEYS, "aperio.mpp", "tiff.xresolution", "tiff.yresolution", *POWER_KEYS)
+
+
 def mpp_chain(props: Column) -> Column:
-    """Struct of mpp_x, mpp_y and mpp_source out of a map of properties; the first arm that gives numbers counts.
+    """Struct of mpp_x, mpp_y and mpp_source out of a map of properties by lower-case key; the first arm that gives numbers counts.
 
     Order: pixel sizes by axis, the vendor's single size, free text, resolution tags, objective power. A missing axis is
-    taken from the other. Null if no arm applies.
+    taken from the other. Null if no arm applies. All values are parsed once, and the arms read the parsed ones.
     """
-    p = F.transform_keys(props, lambda k, _: F.lower(k))
-    at = lambda key: F.element_at(p, F.lit(key))
+    keys = lambda names: F.array(*[F.lit(k) for k in names])
+    parsed = F.struct(
+        F.transform(keys(NUMBER_KEYS), lambda k: lenient_float(F.element_at(props, k))).alias("numbers"),
+        F.transform(keys(TEXT_KEYS), lambda k: mpp_from_text(F.element_at(props, k))).alias("texts"),
+        F.lower(F.trim(F.element_at(props, F.lit("tiff.resolutionunit")))).alias("unit"),
+    )
+    return F.get(F.transform(F.array(parsed), _mpp_arms), F.lit(0))
 
-    def positive(*keys: str) -> Column:
-        vals = [lenient_float(at(k)) for k in keys]
-        return F.coalesce(*[F.when((v > 0) & ~F.isnan(v), v) for v in vals])
 
-    x, y = positive("openslide.mpp-x", "mpp_x", "mppx"), positive("openslide.mpp-y", "mpp_y", "mppy")
-    aperio = positive("aperio.mpp")
-    found = {k: mpp_from_text(at(k)) for k in TEXT_KEYS}
-    unit, per = F.lower(F.trim(at("tiff.resolutionunit"))), F.lit(None).cast("double")
+def _mpp_arms(p: Column) -> Column:
+    number = lambda k: F.get(p["numbers"], F.lit(NUMBER_KEYS.index(k)))
+    positive = lambda *names: F.coalesce(*[F.when((number(k) > 0) & ~F.isnan(number(k)), number(k)) for k in names])
+    x, y, aperio, power = positive(*X_KEYS), positive(*Y_KEYS), positive("aperio.mpp"), positive(*POWER_KEYS)
+    texts = [F.get(p["texts"], F.lit(i)) for i in range(len(TEXT_KEYS))]
+    per = F.lit(None).cast("double")
     for microns, names in UNITS.items():
-        per = F.when(unit.isin(*names), microns).otherwise(per)
-    rx, ry = lenient_float(at("tiff.xresolution")), lenient_float(at("tiff.yresolution"))
+        per = F.when(p["unit"].isin(*names), microns).otherwise(per)
+    rx, ry = number("tiff.xresolution"), number("tiff.yresolution")
     rx, ry = F.coalesce(rx, ry), F.coalesce(ry, rx)
-    power = positive("openslide.objective-power", "aperio.appmag", "hamamatsu.sourcelens", "objective_power")
     return F.coalesce(
         F.when(F.coalesce(x, y).isNotNull(), _mpp(F.coalesce(x, y), F.coalesce(y, x), "openslide.mpp-x/y")),
         F.when(aperio.isNotNull(), _mpp(aperio, aperio, "aperio.MPP")),
-        *[F.when(v > 0, _mpp(v, v, f"text:{k}")) for k, v in found.items()],
+        *[F.when(v > 0, _mpp(v, v, f"text:{k}")) for k, v in zip(TEXT_KEYS, texts)],
         F.when(per.isNotNull() & (rx > 0) & (ry > 0), _mpp(F.try_divide(per, rx), F.try_divide(per, ry), "tiff.resolution")),
         F.when(power.isNotNull(), _mpp(F.try_divide(F.lit(10.0), power), F.try_divide(F.lit(10.0), power), "objective-power-estimate")),
     )

@@ -98,7 +98,7 @@ def q_mpp_chain(s, sf):
     for k, m in v.PROPS.items():
         one = F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
         maps = F.when(F.col("slide_id") % 8 == k, one) if k == 0 else maps.when(F.col("slide_id") % 8 == k, one)
-    return v.slides(s, sf).select("slide_id", ps.mpp_chain(maps).alias("m")).select("slide_id", F.round("m.mpp_x", 9).alias("mpp_x"), F.round("m.mpp_y", 9).alias("mpp_y"), "m.mpp_source")
+    return v.slides(s, sf).select("slide_id", maps.alias("props")).select("slide_id", ps.lower_keys(F.col("props")).alias("props")).select("slide_id", ps.mpp_chain(F.col("props")).alias("m")).select("slide_id", F.round("m.mpp_x", 9).alias("mpp_x"), F.round("m.mpp_y", 9).alias("mpp_y"), "m.mpp_source")
 
 
 def _nth(values: list[str], key="slide_id"):

@@ -45,7 +45,8 @@ def test_levels(spark, policy, cap, expected):
     ({"openslide.mpp-x": "nan", "other": "1"}, None),
 ])
 def test_mpp_chain(spark, props, expected):
-    got = one(spark, ps.mpp_chain(F.create_map(*[F.lit(v) for kv in props.items() for v in kv])))[0]
+    table = spark.createDataFrame([(props,)], "props map<string, string>").select(ps.lower_keys(F.col("props")).alias("props"))
+    got = table.select(ps.mpp_chain(F.col("props"))).first()[0]
     assert (tuple(got) if got else None) == expected
 
 
