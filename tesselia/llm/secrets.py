@@ -67,10 +67,18 @@ def literal_score(value: str, quoted: bool) -> float:
     return min(1.0, 0.3 * quoted + 0.2 * (classes - 1) + entropy / 8)
 
 
+_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+
+
 def lex(text: str, threshold: float = 1.4) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of literals that reach a sensitive name."""
-    env: dict[str, list[tuple[int, int, bool]]] = {}
-    found: dict[tuple[int, int], str] = {}
+    """(start, end, kind) of literals that reach a sensitive name.
+
+    An assignment is a node: its own literals and the nodes of the constants it names. Literals are then found by a walk from the
+    sensitive ones, the most sensitive first, that visits each node once, so time is linear in the text.
+    """
+    nodes: list[tuple[list[tuple[int, int, bool]], list[int]]] = []
+    env: dict[str, int] = {}
+    hot: list[tuple[float, int]] = []
     name, at = None, 0
     while m := _TOKEN.search(text, at):
         at = m.end()
@@ -83,14 +91,13 @@ def lex(text: str, threshold: float = 1.4) -> list[tuple[int, int, str]]:
             name = None
         elif name is not None:
             target, name = name, None
-            parts: list[tuple[int, int, bool]] = []
-            direct: set[tuple[int, int]] = set()
+            own: list[tuple[int, int, bool]] = []
+            refs = [env[target]] if m.group() == "+=" and target in env else []
             while True:
                 at = _BLANK.match(text, at).end()
                 term = _TOKEN.match(text, at)
                 if term and term.lastgroup == "str":
-                    parts.append((term.start() + 1, term.end() - 1, True))
-                    direct.add(parts[-1][:2])
+                    own.append((term.start() + 1, term.end() - 1, True))
                     at = term.end()
                 else:
                     bare = _BARE.match(text, at)
@@ -99,26 +106,30 @@ def lex(text: str, threshold: float = 1.4) -> list[tuple[int, int, str]]:
                     word = bare.group().rstrip(".:")
                     at = at + max(1, len(word))
                     if word in env:
-                        parts += env[word]
+                        refs.append(env[word])
                     elif text[at : at + 1] != "(":
-                        parts.append((at - len(word), at, False))
-                        direct.add(parts[-1][:2])
-                plus = re.compile(r"[ \t]*\+[ \t]*").match(text, at)
+                        own.append((at - len(word), at, False))
+                plus = _PLUS.match(text, at)
                 if not plus:
                     break
                 at = plus.end()
-            parts = parts[:64]  # a literal repeated by a chain of constants counts once below
-            if m.group() == "+=":
-                parts = (env.get(target, []) + parts)[:64]
-            env[target] = list(dict.fromkeys(parts))
-            hot = name_score(target)
-            if hot:
-                for a, b, quoted in env[target]:
-                    if hot + literal_score(text[a:b], quoted) >= threshold:
-                        if (a, b) in direct:
-                            found[a, b] = "literal"
-                        else:
-                            found.setdefault((a, b), "flow")
+            env[target] = len(nodes)
+            nodes.append((own, refs))
+            if score := name_score(target):
+                hot.append((score, env[target]))
+    found: dict[tuple[int, int], str] = {}
+    seen: set[int] = set()
+    for score, first in sorted(hot, key=lambda h: -h[0]):
+        todo = [first]
+        while todo:
+            n = todo.pop()
+            if n in seen and n != first:
+                continue
+            seen.add(n)
+            for a, b, quoted in nodes[n][0]:
+                if ((a, b) not in found or n == first) and score + literal_score(text[a:b], quoted) >= threshold:
+                    found[a, b] = "literal" if n == first else "flow"
+            todo += [r for r in nodes[n][1] if r not in seen]
     return [(a, b, k) for (a, b), k in sorted(found.items())]
 
 
