@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: Settings that bound Arrow batches, so that workers hold little of long texts at once; set only where a user left the default.
+_BATCHES = [("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")]
 
 
 def build_session(cores: int | str = 8, memory: str = "16g", partitions: int = 8) -> SparkSession:
@@ -30,10 +32,13 @@ def build_session(cores: int | str = 8, memory: str = "16g", partitions: int = 8
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
-    Executors may not have the repository on their path, so the package's sources are zipped and added
+    Also bounds Arrow batches. Executors may not have the repository on their path, so the package's sources are zipped and added
     to the application. The zip is built on the driver and served by Spark itself.
     """
     sc = spark.sparkContext
+    for key, default, value in _BATCHES:
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
     if sc.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
