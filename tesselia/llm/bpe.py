@@ -15,15 +15,17 @@ that end at a place, so very long words stay linear.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import struct
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_arrow, sha256_hex, texts
+from .common import map_arrow, release_memory, sha256_hex, texts
 
 _NEVER = 1 << 60
 
@@ -88,7 +90,7 @@ class PrefixBpe:
     ``max_pairs`` and ``max_words`` bound the tables of tested pairs and of encoded words; they are emptied when full.
     """
 
-    def __init__(self, path: str, max_pairs: int = 2_000_000, max_words: int = 100_000):
+    def __init__(self, path: str, max_pairs: int = 400_000, max_words: int = 50_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -105,17 +107,9 @@ class PrefixBpe:
             if max(rank.get(a, -1), rank.get(b, -1)) >= r or whole in parts:
                 raise ValueError("merges must come in the order in which their parts are made, once each")
             self.joined[a, b], rank[whole], parts[whole] = r, r, (a, b)
-        #: A token's right and left spine: (token, rank of the merge that takes it up within the token).
-        self.right, self.left = {}, {}
-        for t in model["vocab"].values():
-            for side, spines in ((1, self.right), (0, self.left)):
-                spine, x, until = [], t, _NEVER
-                while True:
-                    spine.append((x, until))
-                    if x not in parts:
-                        break
-                    until, x = rank[x], parts[x][side]
-                spines[t] = spine
+        self.rank, self.parts = rank, parts
+        #: Right (1) and left (0) spines of the tokens that were asked for.
+        self.spines: tuple[dict, dict] = ({}, {})
         self.automaton = SuffixAutomaton(self.symbols)
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[bytes, str]] = {}
@@ -131,6 +125,19 @@ class PrefixBpe:
     def word_symbols(self, word: str) -> str:
         return word[:-1] + chr(ord(word[-1]) + 0x10000) if self.end else word
 
+    def spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """(token, rank of the merge that takes it up within the whole) from the whole token down one side."""
+        got = self.spines[side].get(token)
+        if got is None:
+            got, x, until = [], token, _NEVER
+            while True:
+                got.append((x, until))
+                if x not in self.parts:
+                    break
+                until, x = self.rank[x], self.parts[x][side]
+            self.spines[side][token] = got
+        return got
+
     def compatible(self, a: int, b: int) -> bool:
         """Whether BPE of the symbols of a and b is a, b.
 
@@ -139,8 +146,8 @@ class PrefixBpe:
         y is taken up within b.
         """
         joined = self.joined
-        for x, x_until in self.right[a]:
-            for y, y_until in self.left[b]:
+        for x, x_until in self.spine(a, 1):
+            for y, y_until in self.spine(b, 0):
                 r = joined.get((x, y))
                 if r is not None and r < x_until and r <= y_until:
                     return False
@@ -213,7 +220,7 @@ class TextEncoder:
     #: The vocabulary file's own pattern of words. Fixed value.
     WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str, max_chunks: int = 700_000):
+    def __init__(self, path: str, max_chunks: int = 250_000):
         import re
 
         import regex
@@ -287,9 +294,12 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder_for(vocab: str) -> TextEncoder:
+def encoder_for(vocab: str, max_chunks: int = 250_000) -> TextEncoder:
     """One encoder a Python worker, for all its tasks."""
-    return TextEncoder(vocab)
+    encoder = TextEncoder(vocab, max_chunks)
+    gc.collect()
+    release_memory()
+    return encoder
 
 
 def encode_texts(docs: DataFrame, vocab: str) -> DataFrame:
@@ -302,9 +312,9 @@ def encode_digests(docs: DataFrame, vocab: str) -> DataFrame:
     return _encoded(docs, vocab, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", _digest)
 
 
-def encode_ids(docs: DataFrame, vocab: str) -> DataFrame:
-    """As encode_texts, with SHA-256 of the decoded text in place of it."""
-    return _encoded(docs, vocab, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", _ids)
+def encode_ids(docs: DataFrame, vocab: str, max_chunks: int = 100_000) -> DataFrame:
+    """As encode_texts, with SHA-256 of the decoded text in place of it. ``max_chunks`` bounds a worker's table of known runs."""
+    return _encoded(docs, vocab, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", _ids, max_chunks)
 
 
 def decode_ids(encoded: DataFrame, vocab: str, ids_col: str = "ids") -> DataFrame:
@@ -322,23 +332,29 @@ def decode_ids(encoded: DataFrame, vocab: str, ids_col: str = "ids") -> DataFram
 
 
 def _full(ids: bytes, decoded: str) -> tuple:
-    return list(struct.unpack(f"<{len(ids) // 4}I", ids)), decoded
+    return ids, decoded
 
 
 def _ids(ids: bytes, decoded: str) -> tuple:
-    return _full(ids, decoded)[0], sha256_hex(decoded.encode())
+    return ids, sha256_hex(decoded.encode())
 
 
 def _digest(ids: bytes, decoded: str) -> tuple:
     return sha256_hex(ids), sha256_hex(decoded.encode())
 
 
-def _encoded(docs: DataFrame, vocab: str, schema: str, shape) -> DataFrame:
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    """Arrow lists over one buffer of 32-bit ids; no Python integers are made."""
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def _encoded(docs: DataFrame, vocab: str, schema: str, shape, max_chunks: int = 250_000) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
-    kind = pa.list_(pa.int32()) if "array<int>" in schema else pa.string()
+    first = id_lists if "array<int>" in schema else pa.array
 
     def make():
-        encoder = encoder_for(vocab)
+        encoder = encoder_for(vocab, max_chunks)
 
         def f(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, a, b = [], [], []
@@ -348,7 +364,7 @@ def _encoded(docs: DataFrame, vocab: str, schema: str, shape) -> DataFrame:
                 x, y = shape(ids, decoded)
                 a.append(x)
                 b.append(y)
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, kind), pa.array(b, pa.string())], names)
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), first(a), pa.array(b, pa.string())], names)
 
         return f
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -45,10 +47,20 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
                 out = f(batch)
                 if out is not None and out.num_rows:
                     yield out
+                del out, batch
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give freed memory back at a task's end: Python workers live on, beside other tasks and the executor's heap."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
@@ -127,7 +139,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive zero-copy slices of a batch of about ``most`` bytes of text; a longer text is a slice of its own."""
     sizes = np.diff(np.frombuffer(batch.column(column).cast(pa.large_string()).buffers()[1], np.int64)[: batch.num_rows + 1])
     total = np.cumsum(sizes)

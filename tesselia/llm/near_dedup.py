@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import ship, through_table
-from .common import ascii_lower, filter_by, map_arrow, mix64, slices, span_hashes, texts, utf8_buffers, word_spans
+from .common import ascii_lower, filter_by, map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers, word_spans
 from .graph import components
 
 DEPTH = 8
@@ -151,6 +151,7 @@ def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float)
             for t in range(trees):
                 keys = [r.tobytes() for r in sig[:, DEPTH * t : DEPTH * (t + 1)]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), t), pa.int32()), pa.array(keys, pa.binary()), batch.column("doc_id"), pa.array(codes, pa.binary())], ["tree", "key", "doc_id", "sketch"])
+        release_memory()
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -174,6 +175,8 @@ def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float)
                 p = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
                 if len(p):
                     yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
+        held = None
+        release_memory()
 
     rows = sigs.select("doc_id", "sig").mapInArrow(grow, "tree int, key binary, doc_id long, sketch binary")
     return rows.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id").mapInArrow(walk, "a long, b long").distinct()
