@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import ship
-from .common import map_arrow, mix64, slices, span_hashes, texts, utf8_buffers
+from .common import map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers
 
 GRAM, RUN, BUCKETS = 20, 64, 1024
 
@@ -175,76 +175,137 @@ def covered(raw: np.ndarray, length: np.ndarray, doc: np.ndarray, size: int) ->
     return piece[b], b - base, e - base + size - 1
 
 
-def pieces(docs: DataFrame, size: int, bits) -> DataFrame:
-    """bucket, and packed columns of the pieces of a block of texts: ids, hashes of texts, starts, lengths and bytes."""
+def candidate_pieces(batch: pa.RecordBatch, size: int, bits: np.ndarray, shift: int) -> list[np.ndarray]:
+    """Pieces of a batch: bucket, id, hash of the text, start, length and 64-bit hash of each, and all bytes end to end."""
+    found: list[list[np.ndarray]] = []
+    for part in slices(batch, most=1 << 20):
+        raw, offsets = utf8_buffers(part.column("text"))
+        start, doc, low = minimisers(raw, offsets, size)
+        ok = marked(low, bits) if len(low) else np.zeros(0, np.bool_)
+        start, doc, low = start[ok], doc[ok], low[ok]
+        if not len(low):
+            continue
+        new = np.ones(len(low), np.bool_)
+        new[1:] = (low[1:] != low[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
+        head = np.flatnonzero(new)
+        since = np.arange(len(low)) - head[np.cumsum(new) - 1]
+        head = np.flatnonzero(since % RUN == 0)
+        length = np.diff(np.append(head, len(low))) + size - 1
+        at, row = start[head], doc[head]
+        columns = [(low[head] >> np.uint64(shift)).astype(np.int32), part.column("doc_id").to_numpy()[row], part.column("hash").to_numpy()[row]]
+        found.append([*columns, (at - offsets[row]).astype(np.int32), length, span_hashes(raw, at, at + length), raw[spread(at, length)]])
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def settled_here(ids: np.ndarray, length: np.ndarray, same: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Pieces with the bytes of one of a smaller id in the same batch: covered as a whole, whatever others hold."""
+    order = np.lexsort((ids, same))
+    first = np.ones(len(order), np.bool_)
+    first[1:] = same[order][1:] != same[order][:-1]
+    leader = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    maybe = (ids[order] > ids[leader]) & (length[order] == length[leader])
+    order, leader = order[maybe], leader[maybe]
+    out = np.zeros(len(ids), np.bool_)
+    if len(order):
+        at = np.cumsum(length) - length
+        equal = data[spread(at[order], length[order])] == data[spread(at[leader], length[order])]
+        out[order] = np.logical_and.reduceat(equal, np.cumsum(length[order]) - length[order])
+    return out
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return len(raw := np.ascontiguousarray(x).tobytes()).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(x[4:], int.from_bytes(x[:4], "little"), codec="zstd", asbytes=True), kind)
+
+
+def pieces(docs: DataFrame, size: int, bits, shift: int) -> DataFrame:
+    """bucket, and packed columns of a batch's pieces there: ids, hashes of texts, starts, lengths and bytes.
+
+    Of equal pieces in a batch only those of the smallest id are sent; the others are settled already and leave as spans,
+    in rows with a negative bucket and no bytes. So a passage that many documents hold costs one piece a batch.
+    """
     ship(docs.sparkSession)
-    fine = BUCKETS * 8
+    names = ["bucket", "ids", "keys", "begins", "lengths", "data"]
+
+    def rows(bucket, ids, keys, begin, length, data) -> pa.RecordBatch:
+        order = np.argsort(bucket, kind="stable")
+        at = np.cumsum(length) - length
+        bucket, ids, keys, begin, first, length = (x[order] for x in (bucket, ids, keys, begin, at, length))
+        cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        packed = [[_pack(x[a:b]) for a, b in zip(cut[:-1], cut[1:])] for x in (ids, keys, begin, length.astype(np.int32))]
+        text = [_pack(data[spread(first[a:b], length[a:b])]) if data is not None else b"" for a, b in zip(cut[:-1], cut[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *(pa.array(c, pa.binary()) for c in [*packed, text])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, most=1 << 20):
-                raw, offsets = utf8_buffers(part.column("text"))
-                start, doc, low = minimisers(raw, offsets, size)
-                if not len(low):
-                    continue
-                ok = marked(low, bits.value)
-                start, doc, low = start[ok], doc[ok], low[ok]
-                if not len(low):
-                    continue
-                new = np.ones(len(low), np.bool_)
-                new[1:] = (low[1:] != low[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
+            got = candidate_pieces(batch, size, bits.value, shift) if batch.num_rows else []
+            if not got:
+                continue
+            bucket, ids, keys, begin, length, same, data = got
+            done = settled_here(ids, length, same, data)
+            if done.any():
+                order = np.lexsort((begin[done], keys[done], ids[done]))
+                i, k, s = ids[done][order], keys[done][order], begin[done][order]
+                e = s + length[done][order].astype(np.int32)
+                new = np.ones(len(i), np.bool_)
+                new[1:] = (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (s[1:] > e[:-1])  # pieces of a text start and end in order
                 head = np.flatnonzero(new)
-                since = np.arange(len(low)) - head[np.cumsum(new) - 1]
-                head = np.flatnonzero(since % RUN == 0)
-                length = np.diff(np.append(head, len(low))) + size - 1
-                bucket = (low[head] >> np.uint64(51)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                head, length, bucket = head[order], length[order], bucket[order]
-                data = raw[spread(start[head], length)]
-                ids = part.column("doc_id").to_numpy()[doc[head]]
-                keys = part.column("hash").to_numpy()[doc[head]]
-                begin = (start[head] - offsets[doc[head]]).astype(np.int32)
-                cut = np.searchsorted(bucket, np.arange(fine + 1))
-                byte = np.concatenate([[0], np.cumsum(length)])
-                some = np.flatnonzero(np.diff(cut))
-                pack = lambda x, kind: pa.array([x[cut[b] : cut[b + 1]].tobytes() for b in some], kind)
-                columns = [pa.array(some.astype(np.int32)), pack(ids, pa.binary()), pack(keys, pa.binary()), pack(begin, pa.binary()), pack(length.astype(np.uint8), pa.binary())]
-                columns.append(pa.array([data[byte[cut[b]] : byte[cut[b + 1]]].tobytes() for b in some], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "ids", "keys", "begins", "lengths", "data"])
+                last = np.append(head[1:], len(i)) - 1
+                yield rows(-1 - (np.arange(len(head)) >> 12).astype(np.int32) - (hash(int(i[0])) & 0xFFF) * 64, i[head], k[head], s[head], (e[last] - s[head]).astype(np.int64), None)
+            if not done.all():
+                keep = ~done
+                yield rows(bucket[keep], ids[keep], keys[keep], begin[keep], length[keep], data[np.repeat(keep, length)])
 
     return docs.mapInArrow(run, "bucket int, ids binary, keys binary, begins binary, lengths binary, data binary")
 
 
-def repeated_spans(docs: DataFrame, size: int, filter_bits: int, most: int = 1 << 22) -> DataFrame:
-    """doc_id, hash, start and end of covered spans; spans of a document may touch and overlap."""
+def repeated_spans(docs: DataFrame, size: int, filter_bits: int, most: int = 1 << 20) -> DataFrame:
+    """doc_id, hash, start and end of covered spans; spans of a document may touch and overlap.
+
+    Pieces are dealt to at least 1,024 buckets, and to 16 for each shuffle partition, so buckets shrink as partitions grow.
+    """
     spark = docs.sparkSession
     keyed = texts(docs).withColumn("hash", F.hash("text"))
     sent = spark.sparkContext.broadcast(shared_filter(keyed, size, filter_bits))
+    buckets = max(1024, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shift = 64 - (buckets - 1).bit_length()
 
-    def settle(held: list[tuple[bytes, ...]]) -> pa.RecordBatch | None:
-        ids, keys, begins, lengths, data = (np.frombuffer(b"".join(x), k) for x, k in zip(zip(*held), (np.int64, np.int32, np.int32, np.uint8, np.uint8)))
+    def spans(ids, keys, starts, ends) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys), pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["doc_id", "hash", "start", "end"])
+
+    def settle(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        ids, keys, begins, lengths, data = (np.concatenate(x) for x in zip(*held))
         p, s, e = covered(data, lengths.astype(np.int64), ids, size)
-        return pa.RecordBatch.from_arrays([pa.array(ids[p]), pa.array(keys[p]), pa.array((s + begins[p]).astype(np.int32)), pa.array((e + begins[p]).astype(np.int32))], ["doc_id", "hash", "start", "end"])
+        return spans(ids[p], keys[p], s + begins[p], e + begins[p])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, total = None, [], 0
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for b, *row in zip(*columns):
+            for i in range(batch.num_rows):
+                b, *row = (c[i].as_py() for c in batch.columns)
+                ids, keys, begins, lengths = (_unpack(x, k) for x, k in zip(row, (np.int64, np.int32, np.int32, np.int32)))
+                if b < 0:
+                    yield spans(ids, keys, begins, begins + lengths)
+                    continue
                 if b != now and total >= most:
                     yield settle(held)
                     held, total = [], 0
                 now = b
-                held.append(tuple(row))
-                total += len(row[-1])
+                held.append((ids, keys, begins, lengths, _unpack(row[4], np.uint8)))
+                total += len(held[-1][4])
         if held:
             yield settle(held)
+        release_memory()
 
-    return pieces(keyed, size, sent).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, hash int, start int, end int")
+    return pieces(keyed, size, sent, shift).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, hash int, start int, end int")
 
 
 def _spans_of(docs: DataFrame, size: int, filter_bits: int) -> DataFrame:
-    spans = repeated_spans(docs, size, filter_bits).groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # Dealt first: gathering spans before the shuffle would only hold them, as hardly any of a document meet in a task.
+    spans = repeated_spans(docs, size, filter_bits).repartition("doc_id", "hash").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     keyed = texts(docs).withColumn("hash", F.hash("text"))
     return keyed.join(spans, ["doc_id", "hash"], "left").select("doc_id", "text", "spans.start", "spans.end")
 
