@@ -4,7 +4,13 @@ Each document's set of word shingles gives a signature of ``trees * DEPTH`` mini
 part of the signature. Rows are range-partitioned and sorted by tree and signature; neighbours in that order with
 a long common prefix are candidates. The depth adapts to the region: where few rows share the first ``least`` minima, all
 of them are candidates of each other; where more than ``leaf`` do, the region is cut deeper, down to all eight, and what is
-still too large there is chained in blocks of ``leaf`` through their first rows.
+still too large there is chained in blocks of ``leaf`` through their first rows. That finds groups of copies cheaply, but not all
+pairs, so every row of a region that was cut is also marked as dense.
+
+Dense rows are joined exactly, by prefix filter: in one order of all shingles, common ones last, two sets of the wanted similarity
+share one among the first ``n - ceil(percent * n / 100) + 1`` of either. Those few are shuffled by shingle; under each, rows of
+different components whose sizes and places allow the similarity are candidates. The order decides the cost only, so a bounded
+sample of the dense rows tells which shingles are common.
 
 Documents with equal sets are one class before the forest, so copies cost one row. A short sketch beside each row
 drops candidates that are far from similar. Candidates are confirmed on full sets: first one for each document, to its
@@ -12,9 +18,9 @@ smallest candidate; then every candidate whose ends aren't connected yet. So no
 left untested, and a group of near copies costs about one test a document.
 
 Null and empty texts have no shingles and stand alone. Texts with fewer words than a shingle are one shingle. Rows that
-share a ``doc_id`` are one node. A tree finds a pair of similarity s with probability s**3 at least outside of dense
-regions; with 16 trees a pair at 0.8 is missed with probability 1e-5. Neighbours on two sides of a partition's border are
-not compared in that tree.
+share a ``doc_id`` are one node. A tree brings a pair of similarity s to one region with probability s**3; with 16 trees a pair at 0.8
+is in none with probability 1e-5. A pair in one region is compared in it, or both rows are dense. The sketch drops a pair at 0.8 of a
+small region with probability 1e-5, and none of the exact join. Regions at a partition's border count as dense.
 """
 
 from __future__ import annotations
@@ -103,11 +109,14 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return low[:, 0::2] << 4 | low[:, 1::2]
 
 
-def neighbours(tree: np.ndarray, key: np.ndarray, least: int, leaf: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of positions in rows sorted by tree and key, by common prefixes of adaptive depth."""
+def neighbours(tree: np.ndarray, key: np.ndarray, least: int, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs of positions in rows sorted by tree and key, by common prefixes of adaptive depth.
+
+    The third array is the number of each row's region, negative where the region has more than ``leaf`` rows.
+    """
     n = len(tree)
     if n < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.ones(n, np.int64)
     lcp = np.concatenate([[0], np.where(tree[1:] == tree[:-1], np.cumprod(key[1:] == key[:-1], 1).sum(1), 0)])
     group = np.full(n, -1)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -115,6 +124,8 @@ def neighbours(tree: np.ndarray, key: np.ndarray, least: int, leaf: int) -> tupl
     for depth in range(least, DEPTH + 1):
         run = np.cumsum(lcp < depth) - 1
         size = np.bincount(run)
+        if depth == least:
+            region = np.where(size[run] > leaf, -1 - run, 1 + run)
         fit = (size[run] <= leaf) & (group < 0)
         group[fit] = run[fit] + taken
         taken += len(size)
@@ -134,11 +145,14 @@ def neighbours(tree: np.ndarray, key: np.ndarray, least: int, leaf: int) -> tupl
         pairs.append((i, i + o))
     i = np.flatnonzero(lcp[1:] >= least)
     pairs.append((i, i + 1))
-    return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+    return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), region
 
 
 def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float) -> DataFrame:
-    """Distinct pairs a < b of similar signatures. ``close``: the least share of sketch codes in common."""
+    """Distinct pairs a < b of similar signatures, and a row with a = b for each dense row.
+
+    ``close``: the least share of sketch codes in common.
+    """
     ship(sigs.sparkSession)
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +168,7 @@ def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float)
         release_memory()
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -164,8 +178,13 @@ def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float)
             code = np.stack([np.frombuffer(x, np.uint8) for x in batch.column("sketch").to_pylist()])
             if held:
                 tree, key, doc, code = (np.concatenate([h, x]) for h, x in zip(held, (tree, key, doc, code)))
+            i, j, region = neighbours(tree, key, least, leaf)
+            dense = (region < 0) | (region == region[0]) if not held else region < 0
             held = tuple(x[-leaf:].copy() for x in (tree, key, doc, code))
-            i, j = neighbours(tree, key, least, leaf)
+            last = doc[region == region[-1]][-leaf:].copy()
+            if dense.any():
+                one = pa.array(np.unique(doc[dense]))
+                yield pa.RecordBatch.from_arrays([one, one], ["a", "b"])
             for at in range(0, len(i), 200_000):
                 a, b = i[at : at + 200_000], j[at : at + 200_000]
                 diff = code[a] ^ code[b]
@@ -175,6 +194,9 @@ def candidates(sigs: DataFrame, trees: int, least: int, leaf: int, close: float)
                 p = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
                 if len(p):
                     yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
+        if last is not None:
+            one = pa.array(np.unique(last))
+            yield pa.RecordBatch.from_arrays([one, one], ["a", "b"])
         held = None
         release_memory()
 
@@ -221,26 +243,158 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(with_a.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y"), make, "a long, b long")
 
 
-def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, least: int = 3, leaf: int = 24, close: float = 0.6) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept."""
-    sigs = through_table(signature_table(docs, words, trees), "near-sigs")
-    rows = sigs.select("doc_id", "n_shingles", "ident")
-    classes = through_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
-    others = through_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id").distinct(), "near-copies")
-    own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id"], "left_anti")
-    found = through_table(candidates(own, trees, least, leaf, close), "near-candidates")
+def common_shingles(docs: DataFrame, words: int, rows: int, sample: int = 20_000, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that several of about ``sample`` of the ``rows`` documents hold, sorted, and how many do."""
+
+    def make():
+        def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+            g = np.concatenate([shingle_sets(part, words)[1] for part in slices(batch)])
+            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64))], ["gram"])
+
+        return f
+
+    some = docs.filter(F.abs(F.xxhash64("doc_id") % 1_000_000) < int(min(1.0, sample / max(1, rows)) * 1_000_000))
+    top = map_arrow(some, make, "gram long").groupBy("gram").count().filter("count > 2").orderBy(F.desc("count"), "gram").limit(most).toPandas()
+    g = top["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(g)
+    return g[order], top["count"].to_numpy(np.int64)[order]
+
+
+def prefixes(docs: DataFrame, words: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """gram, node, label, n (the set's size) and r (shingles from this one on) of each set's first shingles, rare ones first."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+
+    def make():
+        known, counts = sent.value
+
+        def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+            ids, labels = batch.column("doc_id").to_numpy(), batch.column("label").to_numpy()
+            out, row0 = [], 0
+            for part in slices(batch):
+                doc, g = shingle_sets(part, words)
+                rank = np.zeros(len(g), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+                    rank = np.where(known[at] == g, counts[at], 0)
+                order = np.lexsort((g, rank, doc))
+                doc, g = doc[order], g[order]
+                n = np.bincount(doc, minlength=part.num_rows)
+                pos = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+                n = n[doc]
+                first = pos <= n - (percent * n + 99) // 100
+                doc, n, pos = doc[first], n[first], pos[first]
+                out.append((g[first].view(np.int64), ids[row0 + doc], labels[row0 + doc], n, n - pos))
+                row0 += part.num_rows
+            cols = [np.concatenate(c) for c in zip(*out)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 3 else pa.int32()) for k, c in enumerate(cols)], ["gram", "node", "label", "n", "r"])
+
+        return f
+
+    return map_arrow(docs, make, "gram long, node long, label long, n int, r int")
+
+
+def fitting(n: np.ndarray, r: np.ndarray, label: np.ndarray, percent: int, large: int = 64, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of pairs of rows under one shingle that differ in label and whose overlap, at most the smaller r, can suffice."""
+    # The largest partner of a row: (100 + percent) * r >= percent * (n + partner).
+    top = (100 + percent) * r.astype(np.int64) // percent - n
+
+    def ranges(a: np.ndarray, b: np.ndarray, from_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        to = np.maximum(np.searchsorted(n[b], top[a], side="right"), from_)
+        total = np.cumsum(to - from_)
+        at = 0
+        while at < len(a):
+            done = total[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(total, done + most, side="right")))
+            k = (to - from_)[at:end]
+            if k.sum():
+                x = np.repeat(np.arange(at, end), k)
+                y = b[np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + from_[x]]
+                x = a[x]
+                ok = (n[x] <= top[y]) & (label[x] != label[y])
+                yield x[ok], y[ok]
+            at = end
+
+    rest = np.argsort(n, kind="stable")
+    for one in (u for u, c in zip(*np.unique(label, return_counts=True)) if c >= large):
+        # Rows of a large component meet the others only, never each other.
+        own, rest = rest[label[rest] == one], rest[label[rest] != one]
+        yield from ranges(own, rest, np.searchsorted(n[rest], n[own], side="left"))
+        yield from ranges(rest, own, np.searchsorted(n[own], n[rest], side="right"))
+    yield from ranges(rest, rest, np.arange(1, len(rest) + 1))
+
+
+def exact_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs a < b, out of ``prefixes``, of different labels that can have the similarity; no such pair is left out."""
+
+    def pairs(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        gram, node, label, n, r = cols
+        cut = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1], [True]]))
+        mixed = np.minimum.reduceat(label, cut[:-1]) < np.maximum.reduceat(label, cut[:-1])
+        for k in np.flatnonzero(mixed).tolist():
+            s = slice(cut[k], cut[k + 1])
+            for i, j in fitting(n[s], r[s], label[s], percent):
+                x, y = node[s][i], node[s][j]
+                p = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+                if len(p):
+                    yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["a", "b"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [c.to_numpy() for c in batch.columns]
+            # Rows of the batch's last shingle wait for the next batch.
+            at = int(np.searchsorted(cols[0], cols[0][-1]))
+            if at or (held and held[0][0][0] != cols[0][-1]):
+                yield from pairs([np.concatenate(c) for c in zip(*held, [c[:at] for c in cols])])
+                held = []
+            held.append([c[at:].copy() for c in cols])
+        if held:
+            yield from pairs([np.concatenate(c) for c in zip(*held)])
+        held = []
+        release_memory()
+
+    ship(rows.sparkSession)
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(walk, "a long, b long").distinct()
+
+
+def linked(found: DataFrame, docs: DataFrame, words: int, percent: int, labels: DataFrame | None = None) -> DataFrame:
+    """node and component after the candidates ``found`` are confirmed, on top of the components so far."""
     nodes = through_table(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "near-nodes")
     sets = through_table(set_table(filter_by(texts(docs), nodes, ["doc_id"], "left_semi"), words), "near-sets")
     hooks = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = through_table(confirm(hooks, sets, percent), "near-links")
-    labels = through_table(components(links), "near-labels")
+    edges = lambda known, new: new if known is None else known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)
+    labels = through_table(components(edges(labels, links)), "near-labels")
     rest = found.join(hooks, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         rest = rest.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"l{side}")), side, "left")
     rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
     more = through_table(confirm(rest, sets, percent), "near-links")
     if more.take(1):
-        labels = through_table(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-labels")
+        labels = through_table(components(edges(labels, more)), "near-labels")
+    return labels
+
+
+def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, least: int = 3, leaf: int = 24, close: float = 0.6) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept."""
+    sigs = through_table(signature_table(docs, words, trees), "near-sigs")
+    rows = sigs.select("doc_id", "n_shingles", "ident")
+    classes = through_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
+    others = through_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id").distinct(), "near-copies")
+    own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id"], "left_anti")
+    met = through_table(candidates(own, trees, least, leaf, close), "near-candidates")
+    labels = linked(met.filter("a < b"), docs, words, percent)
+    dense = met.filter("a = b").select(F.col("a").alias("doc_id")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    dense = through_table(dense.select("doc_id", F.coalesce("component", "doc_id").alias("label")), "near-dense")
+    n_dense = dense.count()
+    if n_dense > 1:
+        crowd = texts(docs).join(F.broadcast(dense) if n_dense <= 2_000_000 else dense, "doc_id")
+        common = common_shingles(crowd.select("doc_id", "text"), words, n_dense)
+        exact = through_table(exact_candidates(prefixes(crowd, words, percent, common), percent), "near-exact")
+        if exact.take(1):
+            labels = linked(exact, docs, words, percent, labels)
     named = rows.join(classes.select("ident", "node"), "ident", "left").join(labels, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))

@@ -6,6 +6,7 @@ import re
 import struct
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,29 @@ def test_near_dedup_large_group(spark):
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+def test_near_dedup_shared_passage(spark):
+    """Pairs at about 0.8 that overlap in a passage which many longer documents hold too."""
+    rnd = random.Random(9)
+    passage = sentence(rnd, 200)
+    rows = [(1000 + i, passage + " " + sentence(rnd, 50)) for i in range(3000)]
+    for k in range(20):
+        both = passage + " " + sentence(rnd, 12) + " "
+        rows += [(k, both + sentence(rnd, 25)), (9000 + k, both + sentence(rnd, 25))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, rows), 5, 80).collect()}
+    assert got == {i: i - 9000 if i >= 9000 else i for i, _ in rows}
+
+
+def test_near_dedup_fitting():
+    rnd = np.random.RandomState(3)
+    for large in (2, 64):
+        n = rnd.randint(1, 60, 200)
+        r = np.maximum(1, (n * rnd.uniform(0.8, 1, 200)).astype(int))
+        label = rnd.randint(0, 9, 200) ** 2
+        want = {(i, j) for i in range(200) for j in range(i) if label[i] != label[j] and 180 * min(r[i], r[j]) >= 80 * (n[i] + n[j])}
+        got = [(max(p), min(p)) for x, y in near_dedup.fitting(n, r, label, 80, large, 50) for p in zip(x.tolist(), y.tolist())]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 102), (300, 200), (200, 250)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
