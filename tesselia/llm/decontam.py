@@ -5,13 +5,16 @@ the word at hand and moves on or not, by a random bit of that word and step. Win
 strings at a small Hamming distance, whatever their words. Windows of 8, 16 and 32 words are hashed by ``samples`` random
 positions of the walk, in ``repeats`` independent walks, so that some repetition agrees with the wanted recall.
 
-Windows start at anchor words: of each item its ``anchors`` rarest words, by their counts in the benchmark. Text windows that
+Items of fewer than ``SHORT`` words are found exactly instead: with at most k edits one of k + 1 parts of an item stands in the text as it
+is, so each text's runs of words are looked up among those parts. Letters of scripts without spaces are a word each.
+
+For longer items windows start at anchor words: of each item its ``anchors`` rarest words, by their counts in the benchmark. Text windows that
 start at any other word are skipped after one lookup. Every candidate (text place, item place) is verified: the
 edit distance in words between the whole item and the best-matching stretch of the text around the place must be at
 most ``max_edit`` of the item's words.
 
 The index is as large as the benchmark and sent to executors in blocks of ``block`` items, one pass each; texts are
-never shuffled. Null and empty texts match nothing, and neither do items with fewer than ``min_words`` words. Of
+never shuffled. Null and empty texts and items match nothing. Items with fewer than ``min_words`` words match without edits only. Of
 repeated items each is reported.
 """
 
@@ -26,12 +29,17 @@ from .common import map_arrow, mix64, slices, span_hashes, texts, utf8_buffers
 from .linear import _CLASS, token_spans
 
 SIZES = (8, 16, 32)
+SHORT = 15
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 _PAD = np.uint64(0)
 
 
 def word_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a small batch and, for each row, the index of its first (n + 1 entries)."""
-    raw, offsets = utf8_buffers(pc.utf8_lower(batch.column("text")))
+    lower = pc.utf8_lower(batch.column("text"))
+    raw, offsets = utf8_buffers(lower)
+    if (raw >= 0xE0).any():
+        raw, offsets = utf8_buffers(pc.replace_substring_regex(lower, _UNSPACED, r" \1 "))
     s, e, doc = token_spans(raw, offsets)
     some = _CLASS[raw[s]] == 1
     h = span_hashes(raw, s[some], e[some]) | np.uint64(1)
@@ -73,9 +81,71 @@ class Embedding:
         return keys
 
 
+def run_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words."""
+    n = max(0, len(h) - size + 1)
+    out = np.full(n, np.uint64(size))
+    for j in range(size):
+        out = mix64(out ^ h[j : j + n])
+    return out
+
+
+class ShortItems:
+    """Items by their parts: one more than the edits that an item allows, so that one part is whole in every match."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], numbers: list[int], most: dict[int, int]):
+        self.items, self.most = items, most
+        parts: dict[int, list[tuple[int, int, int]]] = {}
+        for n in numbers:
+            words = items[n][1]
+            cut = np.linspace(0, len(words), most[n] + 2).astype(int).tolist()
+            for a, b in zip(cut, cut[1:]):
+                parts.setdefault(b - a, []).append((int(run_hashes(words[a:b], b - a)[0]), n, a))
+        self.tables = {}
+        for size, rows in parts.items():
+            key = np.array([r[0] for r in rows], np.uint64)
+            order = np.argsort(key, kind="stable")
+            self.tables[size] = key[order], np.array([r[1:] for r in rows], np.int64)[order]
+
+    def search(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
+        """{(row, item number): edits} of the rows' matches."""
+        hits = []
+        for size, (keys, places) in self.tables.items():
+            key = run_hashes(h, size)
+            lo = np.searchsorted(keys, key)
+            some = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == key)
+            row = np.searchsorted(first, some, side="right") - 1
+            inside = some + size <= first[row + 1]
+            some, row, lo = some[inside], row[inside], lo[some[inside]]
+            n = np.searchsorted(keys, key[some], side="right") - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            hits.append(np.stack([np.repeat(row, n), places[at, 0], np.repeat(some, n) - places[at, 1]], 1))
+        found: dict[tuple[int, int], int] = {}
+        hits = np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 3), np.int64)
+        for n in np.unique(hits[:, 1]).tolist():
+            words, most = self.items[n][1], self.most[n]
+            own = hits[hits[:, 1] == n]
+            # A match holds all but ``most`` of the item's words.
+            at = own[:, 2, None] + np.arange(-most, len(words) + most)
+            fit = (at >= first[own[:, 0], None]) & (at < first[own[:, 0] + 1, None])
+            near = np.isin(h[np.clip(at, 0, len(h) - 1)], words) & fit
+            for k, _, at in own[near.sum(1) >= len(words) - most].tolist():
+                if found.get((k, n), most + 1) == 0:
+                    continue
+                a, b = max(first[k], at - 2 * most), min(first[k + 1], at + len(words) + 2 * most)
+                edits = edit_distance_within(words, h[a:b])
+                if edits <= most and edits < found.get((k, n), most + 1):
+                    found[k, n] = edits
+        return found
+
+
 class BenchmarkIndex:
-    def __init__(self, items: list[tuple[int, np.ndarray]], anchors: int, repeats: int, samples: int, max_edit: float):
+    def __init__(self, items: list[tuple[int, np.ndarray]], anchors: int, repeats: int, samples: int, max_edit: float, min_words: int):
+        short = [n for n, (_, words) in enumerate(items) if len(words) < max(SHORT, min_words)]
+        self.short = ShortItems(items, short, {n: int(max_edit * len(items[n][1])) if len(items[n][1]) >= min_words else 0 for n in short})
         self.items, self.max_edit = items, max_edit
+        # The walks below see longer items only; numbers of items stay.
+        items = [(i, words if len(words) >= max(SHORT, min_words) else words[:0]) for i, words in items]
         self.embedding = Embedding(repeats, samples)
         count: dict[int, int] = {}
         for _, words in items:
@@ -83,7 +153,7 @@ class BenchmarkIndex:
                 count[w] = count.get(w, 0) + 1
         places = []
         for n, (_, words) in enumerate(items):
-            fit = range(max(1, len(words) - SIZES[0] + 1))
+            fit = range(len(words) - SIZES[0] + 1)
             rare = sorted(fit, key=lambda i: (count[int(words[i])], i))
             seen: set[int] = set()
             for i in rare:
@@ -111,7 +181,7 @@ class BenchmarkIndex:
         """{(row, item number): edits} of the rows' matches."""
         hot = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
         hot = hot[np.isin(h[hot], self.anchor_words)]
-        found: dict[tuple[int, int], int] = {}
+        found = self.short.search(h, first)
         if not len(hot):
             return found
         row = np.searchsorted(first, hot, side="right") - 1
@@ -141,20 +211,20 @@ class BenchmarkIndex:
         return found
 
 
-def item_words(benchmark: DataFrame, min_words: int) -> list[tuple[int, np.ndarray]]:
+def item_words(benchmark: DataFrame) -> list[tuple[int, np.ndarray]]:
     """The benchmark, which is small and fixed, as (item_id, word hashes) on the driver, in the order of ids."""
     rows = texts(benchmark, "item_id").orderBy("doc_id", "text").collect()
     if not rows:
         return []
     h, first = word_hashes(pa.RecordBatch.from_pydict({"text": pa.array([r["text"] for r in rows], pa.string())}))
     items = [(r["doc_id"], h[first[i] : first[i + 1]]) for i, r in enumerate(rows)]
-    return [x for x in items if len(x[1]) >= min_words]
+    return [x for x in items if len(x[1])]
 
 
 def _indexes(spark, benchmark: DataFrame, anchors, repeats, samples, max_edit, min_words, block):
-    items = item_words(benchmark, min_words)
+    items = item_words(benchmark)
     for i in range(0, len(items), block):
-        yield spark.sparkContext.broadcast(items[i : i + block]), (anchors, repeats, samples, max_edit)
+        yield spark.sparkContext.broadcast(items[i : i + block]), (anchors, repeats, samples, max_edit, min_words)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anchors: int = 6, repeats: int = 6, samples: int = 5, min_words: int = 6, block: int = 20_000) -> DataFrame:

@@ -217,6 +217,31 @@ def test_decontaminate(spark):
     assert decontam.find_leaks(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontaminate_short_items(spark):
+    """Items under 6 words verbatim, all others up to the 20 % of edits that max_edit allows."""
+    rnd = random.Random(12)
+    items = [(n * 10 + k, sentence(rnd, n)) for n in (2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 15, 20, 40) for k in range(10)]
+    items += [(900, "桜の花が咲く春の朝に鳥が鳴く"), (901, "東京都")]
+    docs, want = [], set()
+    for i, item in items[:-2]:
+        w = item.split()
+        for j in range(4):
+            own = list(w)
+            for at in rnd.sample(range(len(w)), int(0.2 * len(w)) if len(w) >= 6 else 0):
+                own[at] = f"edited{j}"
+            docs.append((i * 10 + j, " ".join([sentence(rnd, 20).replace("a", "q"), *own, sentence(rnd, 20).replace("a", "q")])))
+            want.add((i * 10 + j, i))
+    docs += [(20000, "昔々桜の花が咲く春の夜に鳥が鳴くのです"), (20001, "私は東京都に住む"), (20002, "東京")]
+    want |= {(20000, 900), (20001, 901)}
+    long = {i for i, t in items if len(t.split()) >= 15}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame(spark, docs), bench).collect()}
+    assert {w for w in want if w[1] not in long} <= got and len(want & got) >= 0.97 * len(want)
+    words = {i: t.split() for i, t in items}
+    extra = {(d, i) for d, i in got - want if i < 900 and not set(words[i]) <= set(dict(docs)[d].split())}
+    assert all(len(words[i]) >= 6 for _, i in extra) and len(extra) <= 5
+
+
 def test_toxicity_swaps(spark):
     rnd = random.Random(6)
     rows, labels = [], []
