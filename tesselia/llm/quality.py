@@ -12,6 +12,8 @@ every document scores 1 and is kept.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -45,7 +47,8 @@ def page_view(batch: pa.RecordBatch) -> np.ndarray:
     cols = [np.clip(m, 0, _BUCKETS - 1).astype(np.int64) + i * _BUCKETS for i, m in enumerate(measures)]
     for k, name in enumerate(("lang", "source")):
         values = batch.column(name).to_pylist()
-        h = np.array([int.from_bytes(("" if v is None else "=" + str(v)).encode()[:64].ljust(8, b"\0"), "little") & (2**64 - 1) for v in values], np.uint64)
+        known = {v: 0 if v is None else int.from_bytes(hashlib.blake2b(("=" + str(v)).encode(), digest_size=8).digest(), "little") for v in set(values)}
+        h = np.array([known[v] for v in values], np.uint64)
         cols.append((mix64(h) & np.uint64(255)).astype(np.int64) + _MEASURES * _BUCKETS + 256 * k)
     return np.stack(cols, 1) if n else np.zeros((0, _MEASURES + 2), np.int64)
 

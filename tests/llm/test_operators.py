@@ -7,6 +7,7 @@ import struct
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,6 +275,12 @@ def test_quality(spark):
     assert quality.train(docs, lab.limit(0)) is None and quality.score_quality(docs, None).filter("kept").count() == 602
 
 
+def test_quality_sources():
+    values = [f"https://site{i}.example.org/" for i in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"text": ["x"] * 42, "lang": ["en"] * 42, "source": values}, pa.schema([("text", "string"), ("lang", "string"), ("source", "string")]))
+    assert len(set(quality.page_view(batch)[:, -1].tolist())) > 30
+
+
 def test_features():
     h = linear.token_hashes("ab ab!! é")
     assert len(h) == 4 and h[0] == h[1] and len(set(h.tolist())) == 3
