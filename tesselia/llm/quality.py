@@ -5,7 +5,7 @@ source, length, lines and shares of character classes, each in buckets. Each vie
 labelled rows; over ``rounds`` each hands its confident labels for unlabelled rows to the other. Both are then calibrated
 on labelled rows kept aside, and a stacked logistic model of the two calibrated views scores all documents.
 
-Training uses at most ``max_rows`` labelled and ``max_pool`` unlabelled rows, in the order of a hash of the id; scoring
+Training uses at most ``max_rows`` labelled rows and a pool of ``max_pool`` documents without a label, each in the order of a hash of the id; scoring
 reads whole texts of all rows without a shuffle. Null text is empty, null metadata a bucket of its own. Without labels
 every document scores 1 and is kept.
 """
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import DOC_COLUMNS, map_arrow, mix64, pick, slices, utf8_buffers
+from .common import DOC_COLUMNS, filter_by, map_arrow, mix64, pick, slices, utf8_buffers
 from .linear import Vocabulary, choose, features, fit, gather, logits, matrix, sample_labels, sigmoid
 
 #: Buckets a measure; measures: size, lines, mean line, mean word, shares of capitals, marks, digits, repeated marks.
@@ -99,11 +99,17 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_pool: int) -> DataFrame:
+    """doc_id and label of the labelled rows to train on, and with a null label the pool: documents without any label."""
+    known = sample_labels(labels, label, max_rows)
+    named = pick(labels, "doc_id", label, doc_id="long", **{label: "int"}).filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    free = filter_by(pick(docs, "doc_id", doc_id="long").filter("doc_id is not null"), named, ["doc_id"], "left_anti")
+    pool = free.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool)
+    return known.withColumn("label", F.col("label").cast("int")).union(pool.withColumn("label", F.lit(None).cast("int")))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 6000, max_pool: int = 3000, rounds: int = 3, sure: float = 0.97, width: int = 4096) -> QualityModel | None:
-    chosen = sample_labels(labels, label, max_rows + max_pool)
-    order = chosen.withColumn("_n", F.xxhash64("doc_id") % 3)
-    # A third of the sample serves as the pool: its labels are never looked at.
-    chosen = order.select("doc_id", F.when(F.col("_n") != 0, F.col("label")).cast("int").alias("label"))
+    chosen = sample_rows(docs, labels, label, max_rows, max_pool)
     rows = gather(_with_view(_docs(docs).join(F.broadcast(chosen), "doc_id")), False, ["label", "view"])
     known = [r for r in rows if r["label"] is not None]
     pool = [r for r in rows if r["label"] is None]

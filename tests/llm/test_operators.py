@@ -275,6 +275,17 @@ def test_quality(spark):
     assert quality.train(docs, lab.limit(0)) is None and quality.score_quality(docs, None).filter("kept").count() == 602
 
 
+def test_quality_pool(spark, monkeypatch):
+    """All sampled labels are trained on, and the pool holds documents outside of them."""
+    rnd = random.Random(8)
+    docs = frame(spark, [(i, sentence(rnd, 20)) for i in range(200)])
+    lab = spark.createDataFrame([(i, i % 2 if i % 10 else None) for i in range(120)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "gather", lambda *a: seen.extend(linear.gather(*a)) or seen)
+    quality.train(docs, lab)
+    assert {r["doc_id"]: r["label"] for r in seen} == {i: i % 2 if i < 120 and i % 10 else None for i in range(200)}
+
+
 def test_quality_sources():
     values = [f"https://site{i}.example.org/" for i in range(40)] + [None, ""]
     batch = pa.RecordBatch.from_pydict({"text": ["x"] * 42, "lang": ["en"] * 42, "source": values}, pa.schema([("text", "string"), ("lang", "string"), ("source", "string")]))
