@@ -382,10 +382,16 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int =
     sigs = through_table(signature_table(docs, words, trees), "near-sigs")
     rows = sigs.select("doc_id", "n_shingles", "ident")
     classes = through_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
-    others = through_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id").distinct(), "near-copies")
-    own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id"], "left_anti")
+    others = through_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id", "ident").distinct(), "near-copies")
+    own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id", "ident"], "left_anti")
     met = through_table(candidates(own, trees, least, leaf, close), "near-candidates")
     labels = linked(met.filter("a < b"), docs, words, percent)
+    # An id with several texts is one node: it joins the classes of all of them.
+    several = rows.filter("n_shingles > 0").groupBy("doc_id").agg(F.min("ident").alias("lo"), F.max("ident").alias("hi")).filter("lo <> hi").select("doc_id")
+    same = rows.filter("n_shingles > 0").join(several, "doc_id").join(classes.select("ident", "node"), "ident").filter("doc_id <> node")
+    same = through_table(same.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "near-same-id")
+    if same.take(1):
+        labels = through_table(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(same)), "near-labels")
     dense = met.filter("a = b").select(F.col("a").alias("doc_id")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     dense = through_table(dense.select("doc_id", F.coalesce("component", "doc_id").alias("label")), "near-dense")
     n_dense = dense.count()

@@ -82,6 +82,14 @@ def test_near_dedup_shared_passage(spark):
     assert got == {i: i - 9000 if i >= 9000 else i for i, _ in rows}
 
 
+def test_near_dedup_repeated_id(spark):
+    rnd = random.Random(11)
+    one, two, other = (sentence(rnd, 60) for _ in range(3))
+    rows = [(1, one), (5, one), (5, two), (9, two + " end"), (20, other)]
+    got = Counter((r.doc_id, r.component_id) for r in near_dedup.near_groups(frame(spark, rows), 5, 80).collect())
+    assert got == Counter([(1, 1), (5, 1), (5, 1), (9, 1), (20, 20)])
+
+
 def test_near_dedup_fitting():
     rnd = np.random.RandomState(3)
     for large in (2, 64):
