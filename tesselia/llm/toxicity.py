@@ -21,10 +21,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import map_arrow, slices, texts
 from .linear import Vocabulary, choose, features, fit, gather, logits, matrix, sample_labels, sigmoid, token_hashes
 
-#: Group mentions that are swapped for each other. Fixed values.
+#: Group mentions that are swapped for each other, in the corpus's languages (en, de, fr, es). Fixed values.
 IDENTITY_TERMS = (
     "asian", "black", "blind", "christian", "deaf", "disabled", "female", "gay", "hindu", "immigrant", "jewish", "lesbian",
     "male", "man", "men", "muslim", "refugee", "trans", "white", "woman", "women",
+    "asiatisch", "behindert", "christlich", "frau", "frauen", "jüdisch", "lesbisch", "mann", "muslimisch", "männer", "schwul",
+    "asiatique", "chrétien", "femme", "femmes", "handicapé", "homme", "hommes", "juif", "lesbienne", "musulman", "noir",
+    "asiático", "cristiano", "discapacitado", "hombre", "hombres", "judío", "lesbiana", "mujer", "mujeres", "musulmán",
 )
 
 

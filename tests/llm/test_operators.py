@@ -270,6 +270,16 @@ def test_toxicity_swaps(spark):
     assert toxicity.score_toxicity(docs, toxicity.train(docs, lab.limit(0))).first().score == 0.5
 
 
+@pytest.mark.parametrize("term", ["schwul", "femme", "judío"])
+def test_toxicity_swaps_other_languages(spark, term):
+    rnd = random.Random(6)
+    rows = [(i, sentence(rnd, 20) + (" idiot" if i % 4 == 0 else "") + (f" {term}" if i % 8 == 0 or i % 50 == 1 else "")) for i in range(400)]
+    docs, lab = frame(spark, rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    at = lambda m: m.weights[np.searchsorted(m.vocab.hashes, linear.token_hashes(term)[0])]
+    with_, without = (at(toxicity.train(docs, lab, swap=s)) for s in (30.0, 0.0))
+    assert abs(with_) < 0.5 * abs(without)
+
+
 def test_quality(spark):
     rnd = random.Random(7)
     rows = [(i, sentence(rnd, 30) if i % 4 else " ".join(w + "###" for w in sentence(rnd, 30).split())) for i in range(600)] + [(900, None), (901, "")]
