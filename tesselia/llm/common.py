@@ -151,10 +151,11 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) ->
         at = to
 
 
-def filter_by(big: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 2_000_000) -> DataFrame:
+def filter_by(big: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1 << 25) -> DataFrame:
     """Semi or anti join of wide rows with a table of keys, which must be cheap to count (a written table).
 
-    Up to ``most`` keys are broadcast, after counting them; more are joined by a shuffle of both sides.
+    Keys of up to ``most`` bytes are broadcast, after counting them; more are joined by a shuffle of both sides.
     """
     keys = keys.select(*on)
-    return big.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)
+    width = sum(64 if t in ("binary", "string") else 16 for _, t in keys.dtypes)
+    return big.join(F.broadcast(keys) if keys.count() * width <= most else keys, on, how)

@@ -1,21 +1,24 @@
-"""Removal of repeated byte strings, by column-wise sorting of a collection's windows.
+"""Removal of repeated byte strings, by a column-wise Burrows-Wheeler build over a collection's strings.
 
 A byte goes if it is covered by a string of ``size`` bytes that also starts in a document with a smaller id. All
 strings of that size are windows of their texts. A window's smallest 20-byte hash (its minimiser) is the same wherever
 the window occurs, so windows meet by it:
 
 1. Minimisers that occur in two documents are marked in a bit filter of fixed size.
-2. Stretches of windows whose minimiser is marked (*pieces*) go to the partition of their minimiser.
-3. There the windows' order is built column by column from the last to the first: each round puts one symbol in front
-   of every string, moves the strings to their symbol's pile in the order so far, and updates which neighbours
-   share their whole prefix. After ``size`` rounds equal windows are neighbours; the smallest id of each
-   class decides. Piles are flat arrays, written and read in sequence, of a bounded number of pieces at a time.
-4. Covered spans meet their texts again; what is left is returned.
-
-The filter only saves work: a window that it lets through wrongly is told apart in step 3. Null and empty texts have no bytes;
-texts shorter than ``size`` lose none. Rows that share an id don't remove from each other; spans are kept by id and a
-hash of the text. Long runs of one minimiser are cut into pieces of at most ``RUN`` windows, so very long texts and periodic
-ones make no long strings. Identical pieces are sorted once.
+2. Stretches of windows whose minimiser is marked (*pieces*, at most ``RUN`` windows each) go to the bucket of their minimiser.
+3. There the pieces are the collection: one symbol of every piece is inserted a round, which updates the Burrows-Wheeler
+   transform and the common prefixes of neighbouring suffixes (``column_order``). After as many rounds as the longest piece has
+   bytes, equal windows are neighbours with a common prefix of ``size``; the smallest id of each such class decides.
+4. Covered spans meet their texts again; what is left is returned. Texts without spans don't move.
+
+The filter only saves work: a window that it lets through wrongly is told apart in step 3. Equal pieces are ordered once, in a batch and
+again in a bucket, so a passage that many documents hold costs one piece a batch. A bucket is ordered in groups of minimisers of
+bounded size; one minimiser with more pieces than that is dealt out once more by the hash of each window.
+
+Null and empty texts have no bytes; texts shorter than ``size`` lose none; very long ones are many pieces. Rows that share an id don't
+remove from each other; of rows with one id and different texts each has its own spans, by id and a 64-bit hash of the text. Rows
+without an id neither lose nor remove anything. Repeated rows are each returned. An empty table gives no rows. Other columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ship
-from .common import map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers
+from ..session import ship, through_table
+from .common import filter_by, map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers
 
 GRAM, RUN, BUCKETS = 20, 64, 1024
 
@@ -127,52 +130,176 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
-def window_classes(raw: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """Class number of each window of ``size`` bytes: equal numbers for equal windows.
+def column_order(raw: np.ndarray, first: np.ndarray, length: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All suffixes of the strings in order: string, length, and common prefix with the one before (at most ``cap``).
 
-    Columns from the last to the first: ``order`` has the strings so far in sorted order, ``kind`` the class of each.
+    One symbol of every string is inserted a round, from the last to the first. ``before`` is the collection's Burrows-Wheeler
+    transform so far: the symbol in front of each suffix, 0 where there is none. A new suffix goes where its symbol's rank
+    there puts it; common prefixes of it and of its successor are one more than the least between the places they come from.
+    Bytes are UTF-8, so none is 255.
     """
-    order = np.arange(len(starts))
-    kind = np.zeros(len(starts), np.int32)
-    for column in range(size - 1, -1, -1):
-        symbol = raw[starts[order] + column]
-        pile = np.argsort(symbol, kind="stable")
-        order, symbol = order[pile], symbol[pile]
-        old = kind[order]
-        step = np.zeros(len(order), np.int32)
-        step[1:] = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
-        kind[order] = np.cumsum(step, dtype=np.int32)
-    return kind
-
-
-def covered(raw: np.ndarray, length: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of pieces laid end to end: (piece, start, end) of the spans that windows of smaller ids cover."""
+    d = len(length)
+    last = first + length
+    before = raw[last - 1] + np.uint8(1)
+    common = np.zeros(d, np.uint8)
+    bits = max(1, int(length.max(initial=1)).bit_length())
+    who = np.arange(d, dtype=np.int32 if d << bits < 1 << 31 else np.int64) << bits
+    place = live = np.arange(d)
+    for n in range(1, int(length.max(initial=0)) + 1):
+        some = length[live] >= n
+        live, at = live[some], place[some]
+        by_symbol = np.argsort(before, kind="stable")
+        rank = np.empty(len(before), np.int32)
+        rank[by_symbol] = np.arange(len(before), dtype=np.int32)
+        # Minima of common prefixes over all ranges of 2**k places.
+        least = [common]
+        while 2 << (len(least) - 1) <= len(common):
+            half = 1 << (len(least) - 1)
+            least.append(np.minimum(least[-1][:-half], least[-1][half:]))
+
+        def between(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+            """One more than the least common prefix in places lo + 1 to hi."""
+            k = np.frexp((hi - lo).astype(np.float64))[1] - 1
+            out = np.empty(len(lo), np.uint8)
+            for level in np.unique(k).tolist():
+                at = np.flatnonzero(k == level)
+                out[at] = np.minimum(least[level][lo[at] + 1], least[level][hi[at] + 1 - (1 << level)])
+            return np.minimum(out, cap - 1) + 1
+
+        r = rank[at]
+        up = np.flatnonzero((r > 0) & (before[by_symbol[np.maximum(r - 1, 0)]] == before[at]))
+        down = np.flatnonzero((r + 1 < len(before)) & (before[by_symbol[np.minimum(r + 1, len(before) - 1)]] == before[at]))
+        with_up, with_down = np.zeros(len(live), np.uint8), np.zeros(len(live), np.uint8)
+        with_up[up] = between(by_symbol[r[up] - 1], at[up])
+        with_down[down] = between(at[down], by_symbol[r[down] + 1])
+        new = d + r - int((before == 0).sum())
+        old = np.ones(len(before) + len(live), np.bool_)
+        old[new] = False
+        grown = [np.empty(len(old), x.dtype) for x in (before, common, who)]
+        for x, y in zip(grown, (before, common, who)):
+            x[old] = y
+        before, common, who = grown
+        before[new] = np.where(length[live] > n, raw[np.maximum(last[live] - n - 1, 0)] + np.uint8(1), 0)
+        common[new] = with_up
+        common[new[down] + 1] = with_down[down]
+        who[new] = live << bits | n
+        place = new
+    return who >> bits, who & ((1 << bits) - 1), common
+
+
+def least_owners(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least: np.ndarray, size: int) -> np.ndarray:
+    """For each window of each string, in turn, the smallest of the strings' ids ``least`` that hold the same window."""
+    count = length - size + 1
+    at = np.cumsum(count) - count
+    out = np.empty(int(count.sum()), np.int64)
+    string, n, common = column_order(raw, first, length, size)
+    kind = np.cumsum(common < size) - 1
+    low = np.full(int(kind[-1]) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(low, kind, least[string])
+    some = n >= size
+    string, n, kind = string[some], n[some], kind[some]
+    out[at[string] + length[string] - n] = low[kind]
+    return out
+
+
+def owners(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least: np.ndarray, size: int, most: int) -> np.ndarray:
+    """As least_owners, in groups of at most about ``most`` bytes: by minimiser, and one minimiser's windows by their hash."""
+    if int(length.sum()) <= most:
+        return least_owners(raw, first, length, least, size)
+    count = length - size + 1
+    at = np.cumsum(count) - count
+    out = np.empty(int(count.sum()), np.int64)
+    near = spread(first, np.full(len(first), size - GRAM + 1))
+    gram = span_hashes(raw, near, near + GRAM).reshape(len(first), -1).min(1)
+    order = np.argsort(gram, kind="stable")
+    cut = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
+    bytes_ = np.add.reduceat(length[order], cut)
+    ends = np.append(cut[1:], len(order))
+    i = 0
+    while i < len(cut):
+        j, total = i + 1, int(bytes_[i])
+        while j < len(cut) and total + bytes_[j] <= most:
+            total += int(bytes_[j])
+            j += 1
+        own = order[cut[i] : ends[j - 1]]
+        if total <= most:
+            out[spread(at[own], count[own])] = least_owners(raw, first[own], length[own], least[own], size)
+        else:
+            start, who, to = spread(first[own], count[own]), np.repeat(least[own], count[own]), spread(at[own], count[own])
+            parts = np.uint64(-(-len(start) * size // most))
+            part = span_hashes(raw, start, start + size) % parts
+            for k in range(int(parts)):
+                w = np.flatnonzero(part == k)
+                if len(w):
+                    out[to[w]] = least_owners(raw, start[w], np.full(len(w), size), who[w], size)
+        i = j
+    return out
+
+
+def alike(raw: np.ndarray, length: np.ndarray, widest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Equal pieces by all their bytes: one piece of each class, and each piece's class."""
     first = np.cumsum(length) - length
-    wide = np.zeros((len(length), size + RUN - 1), np.uint8)
+    wide = np.zeros((len(length), widest + 1), np.uint8)
     rows = np.repeat(np.arange(len(length)), length)
     wide[rows, np.arange(len(raw)) - first[rows]] = raw
-    # A piece's length is part of its identity; the padding after it could be real zero bytes.
-    keyed = np.concatenate([wide, (length.astype(np.uint8))[:, None]], 1)
-    _, one, same = np.unique(np.ascontiguousarray(keyed).view([("", np.void, keyed.shape[1])]).ravel(), return_index=True, return_inverse=True)
-    least = np.full(len(one), np.iinfo(np.int64).max)
-    np.minimum.at(least, same, doc)
-    count = length[one] - size + 1
-    windows = spread(first[one], count)
-    kind = window_classes(raw, windows, size)
-    low = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(low, kind, np.repeat(least, count))
-    low = low[kind]
-    at = np.cumsum(count) - count
-    n = count[same]
-    hit = low[spread(at[same], n)] < np.repeat(doc, n)
-    piece = np.repeat(np.arange(len(doc)), n)
-    edge = np.ones(len(hit) + 1, np.bool_)
-    edge[1:-1] = (hit[1:] != hit[:-1]) | (piece[1:] != piece[:-1])
-    runs = np.flatnonzero(edge)
-    b, e = runs[:-1], runs[1:]
-    b, e = b[hit[b]], e[hit[b]]
-    base = (np.cumsum(n) - n)[piece[b]]
-    return piece[b], b - base, e - base + size - 1
+    wide[:, -1] = length  # a piece's length is part of its identity; the padding after it could be real zero bytes
+    _, one, same = np.unique(np.ascontiguousarray(wide).view([("", np.void, widest + 1)]).ravel(), return_index=True, return_inverse=True)
+    return one, same.ravel()
+
+
+class Pieces:
+    """Pieces of one bucket as they come. Copies of a piece leave early, so what is held is distinct pieces of the smallest ids."""
+
+    def __init__(self, size: int, most: int):
+        self.size, self.most, self.held, self.fresh = size, most, [], 0
+
+    def add(self, *columns: np.ndarray):
+        """ids, keys, begins, lengths and bytes end to end; returns spans (ids, keys, starts, ends) that are settled."""
+        self.held.append(columns)
+        self.fresh += len(columns[4])
+        return self._thin() if self.fresh >= self.most else None
+
+    def _thin(self):
+        ids, keys, begins, length, data = (np.concatenate(x) for x in zip(*self.held))
+        one, same = alike(data, length, self.size + RUN - 1)
+        least = np.full(len(one), np.iinfo(np.int64).max)
+        np.minimum.at(least, same, ids)
+        gone = ids > least[same]
+        stay = ~gone
+        # Repeated rows bring the same piece of the same text again.
+        order = np.lexsort((begins, keys, same))
+        order = order[stay[order]]
+        again = np.zeros(len(order), np.bool_)
+        again[1:] = (same[order][1:] == same[order][:-1]) & (keys[order][1:] == keys[order][:-1]) & (begins[order][1:] == begins[order][:-1])
+        keep = np.sort(order[~again])
+        at = np.cumsum(length) - length
+        self.held = [(ids[keep], keys[keep], begins[keep], length[keep], data[spread(at[keep], length[keep])])]
+        self.fresh = 0
+        return ids[gone], keys[gone], begins[gone], begins[gone] + length[gone]
+
+    def finish(self):
+        """Spans of all that is held, by their windows."""
+        if not self.held:
+            return []
+        out = [self._thin()]
+        ids, keys, begins, length, data = self.held[0]
+        one, same = alike(data, length, self.size + RUN - 1)
+        first = np.cumsum(length) - length
+        count = length - self.size + 1
+        hit = owners(data, first[one], length[one], ids[one], self.size, self.most)
+        at = np.cumsum(count[one]) - count[one]
+        hit = hit[spread(at[same], count)] < np.repeat(ids, count)
+        piece = np.repeat(np.arange(len(ids)), count)
+        edge = np.ones(len(hit) + 1, np.bool_)
+        edge[1:-1] = (hit[1:] != hit[:-1]) | (piece[1:] != piece[:-1])
+        runs = np.flatnonzero(edge)
+        b, e = runs[:-1], runs[1:]
+        b, e = b[hit[b]], e[hit[b]]
+        p = piece[b]
+        base = (np.cumsum(count) - count)[p]
+        out.append((ids[p], keys[p], begins[p] + b - base, begins[p] + e - base + self.size - 1))
+        self.held = []
+        return out
 
 
 def candidate_pieces(batch: pa.RecordBatch, size: int, bits: np.ndarray, shift: int) -> list[np.ndarray]:
@@ -192,7 +319,7 @@ def candidate_pieces(batch: pa.RecordBatch, size: int, bits: np.ndarray, shift:
         head = np.flatnonzero(since % RUN == 0)
         length = np.diff(np.append(head, len(low))) + size - 1
         at, row = start[head], doc[head]
-        columns = [(low[head] >> np.uint64(shift)).astype(np.int32), part.column("doc_id").to_numpy()[row], part.column("hash").to_numpy()[row]]
+        columns = [(low[head] >> np.uint64(shift)).astype(np.int64), part.column("doc_id").to_numpy()[row], part.column("hash").to_numpy()[row]]
         found.append([*columns, (at - offsets[row]).astype(np.int32), length, span_hashes(raw, at, at + length), raw[spread(at, length)]])
     return [np.concatenate(c) for c in zip(*found)]
 
@@ -237,7 +364,7 @@ def pieces(docs: DataFrame, size: int, bits, shift: int) -> DataFrame:
         cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
         packed = [[_pack(x[a:b]) for a, b in zip(cut[:-1], cut[1:])] for x in (ids, keys, begin, length.astype(np.int32))]
         text = [_pack(data[spread(first[a:b], length[a:b])]) if data is not None else b"" for a, b in zip(cut[:-1], cut[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int32()), *(pa.array(c, pa.binary()) for c in [*packed, text])], names)
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int64()), *(pa.array(c, pa.binary()) for c in [*packed, text])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,21 +381,28 @@ def pieces(docs: DataFrame, size: int, bits, shift: int) -> DataFrame:
                 new[1:] = (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (s[1:] > e[:-1])  # pieces of a text start and end in order
                 head = np.flatnonzero(new)
                 last = np.append(head[1:], len(i)) - 1
-                yield rows(-1 - (np.arange(len(head)) >> 12).astype(np.int32) - (hash(int(i[0])) & 0xFFF) * 64, i[head], k[head], s[head], (e[last] - s[head]).astype(np.int64), None)
+                yield rows(-1 - (np.arange(len(head)) >> 12) - (hash(int(i[0])) & 0xFFF) * 64, i[head], k[head], s[head], (e[last] - s[head]).astype(np.int64), None)
             if not done.all():
                 keep = ~done
                 yield rows(bucket[keep], ids[keep], keys[keep], begin[keep], length[keep], data[np.repeat(keep, length)])
 
-    return docs.mapInArrow(run, "bucket int, ids binary, keys binary, begins binary, lengths binary, data binary")
+    return docs.mapInArrow(run, "bucket long, ids binary, keys binary, begins binary, lengths binary, data binary")
+
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).withColumn("hash", F.xxhash64("text"))
 
-def repeated_spans(docs: DataFrame, size: int, filter_bits: int, most: int = 1 << 20) -> DataFrame:
-    """doc_id, hash, start and end of covered spans; spans of a document may touch and overlap.
 
-    Pieces are dealt to at least 1,024 buckets, and to 16 for each shuffle partition, so buckets shrink as partitions grow.
+def repeated_spans(docs: DataFrame, size: int, filter_bits: int, most: int = 1 << 19) -> DataFrame:
+    """doc_id, hash, start and end of covered spans; spans of a document may touch, overlap and repeat.
+
+    Pieces are dealt to at least 1,024 buckets, and to 16 for each shuffle partition, so buckets shrink as partitions grow. A task
+    holds the distinct pieces of one bucket, or of several small ones, and orders about ``most`` bytes at a time.
     """
+    if not GRAM <= size <= 255 - RUN:
+        raise ValueError(f"size must lie between {GRAM} and {255 - RUN}")
     spark = docs.sparkSession
-    keyed = texts(docs).withColumn("hash", F.hash("text"))
+    keyed = _keyed(docs).filter("doc_id is not null")
     sent = spark.sparkContext.broadcast(shared_filter(keyed, size, filter_bits))
     buckets = max(1024, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shift = 64 - (buckets - 1).bit_length()
@@ -276,38 +410,42 @@ def repeated_spans(docs: DataFrame, size: int, filter_bits: int, most: int = 1 <
     def spans(ids, keys, starts, ends) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys), pa.array(starts.astype(np.int32)), pa.array(ends.astype(np.int32))], ["doc_id", "hash", "start", "end"])
 
-    def settle(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        ids, keys, begins, lengths, data = (np.concatenate(x) for x in zip(*held))
-        p, s, e = covered(data, lengths.astype(np.int64), ids, size)
-        return spans(ids[p], keys[p], s + begins[p], e + begins[p])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, total = None, [], 0
+        now, group, total = None, Pieces(size, most), 0
         for batch in batches:
             for i in range(batch.num_rows):
                 b, *row = (c[i].as_py() for c in batch.columns)
-                ids, keys, begins, lengths = (_unpack(x, k) for x, k in zip(row, (np.int64, np.int32, np.int32, np.int32)))
+                ids, keys, begins, lengths = (_unpack(x, k) for x, k in zip(row, (np.int64, np.int64, np.int32, np.int32)))
                 if b < 0:
                     yield spans(ids, keys, begins, begins + lengths)
                     continue
                 if b != now and total >= most:
-                    yield settle(held)
-                    held, total = [], 0
+                    for out in group.finish():
+                        yield spans(*out)
+                    total = 0
                 now = b
-                held.append((ids, keys, begins, lengths, _unpack(row[4], np.uint8)))
-                total += len(held[-1][4])
-        if held:
-            yield settle(held)
+                data = _unpack(row[4], np.uint8)
+                total += len(data)
+                out = group.add(ids, keys, begins, lengths.astype(np.int64), data)
+                if out is not None:
+                    yield spans(*out)
+        for out in group.finish():
+            yield spans(*out)
         release_memory()
 
-    return pieces(keyed, size, sent, shift).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, hash int, start int, end int")
+    return pieces(keyed, size, sent, shift).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, hash long, start int, end int")
 
 
 def _spans_of(docs: DataFrame, size: int, filter_bits: int) -> DataFrame:
+    """doc_id, text and its spans. Texts without spans do not move."""
+    found = through_table(repeated_spans(docs, size, filter_bits), "repeat-spans")
+    keys = ["doc_id", "hash"]
     # Dealt first: gathering spans before the shuffle would only hold them, as hardly any of a document meet in a task.
-    spans = repeated_spans(docs, size, filter_bits).repartition("doc_id", "hash").groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    keyed = texts(docs).withColumn("hash", F.hash("text"))
-    return keyed.join(spans, ["doc_id", "hash"], "left").select("doc_id", "text", "spans.start", "spans.end")
+    spans = found.repartition(*keys).groupBy(*keys).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    some = through_table(found.select(*keys).distinct(), "repeat-docs")
+    moved = filter_by(_keyed(docs), some, keys, "left_semi").join(spans, keys).select("doc_id", "text", "spans.start", "spans.end")
+    none = F.lit(None).cast("array<int>")
+    return moved.union(filter_by(_keyed(docs), some, keys, "left_anti").select("doc_id", "text", none, none))
 
 
 def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:

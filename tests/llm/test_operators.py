@@ -24,7 +24,7 @@ def sentence(rnd, n):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "en", f"s{i % 3}" if i % 4 else None, None, "other", 1, "x") for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", f"s{i % 3}" if i and i % 4 else None, None, "other", 1, "x") for i, t in rows], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -125,28 +125,70 @@ def test_exact_dedup(spark, corpus, tmp_path):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 
 
+def repeats(rows, size=50):
+    """(id, n_bytes, n_removed, n_spans, digest) of each row, by brute force."""
+    first, out = {}, Counter()
+    for i, t in rows:
+        b = (t or "").encode()
+        for k in range(len(b) - size + 1 if i is not None else 0):
+            first[b[k : k + size]] = min(i, first.get(b[k : k + size], i))
+    for i, t in rows:
+        b = (t or "").encode()
+        hit = [False] * len(b)
+        for k in range(len(b) - size + 1 if i is not None else 0):
+            if first[b[k : k + size]] < i:
+                hit[k : k + size] = [True] * size
+        runs = sum(h and (k == 0 or not hit[k - 1]) for k, h in enumerate(hit))
+        out[i, len(b), sum(hit), runs, hashlib.sha256(bytes(c for c, h in zip(b, hit) if not h)).hexdigest()] += 1
+    return out
+
+
 def test_suffix_dedup(spark, corpus):
+    """Repeated ids with equal and other texts, null ids, a line that all hold, a periodic text."""
     rnd = random.Random(8)
     shared = [sentence(rnd, 12) for _ in range(4)]
-    rows = [r for r in corpus if r[0] != 206] + [(300 + k, sentence(rnd, 9) + shared[k % 4] + sentence(rnd, 5) + shared[k % 3]) for k in range(20)]
-    first, data = {}, sorted((i, (t or "").encode()) for i, t in rows)
-    for i, b in data:
-        for k in range(len(b) - 49):
-            first.setdefault(b[k : k + 50], i)
-    want = {}
-    for i, b in data:
-        hit = [False] * len(b)
-        for k in range(len(b) - 49):
-            if first[b[k : k + 50]] < i:
-                hit[k : k + 50] = [True] * 50
-        runs = sum(h and (k == 0 or not hit[k - 1]) for k, h in enumerate(hit))
-        want[i] = (len(b), sum(hit), runs, hashlib.sha256(bytes(c for c, h in zip(b, hit) if not h)).hexdigest())
+    line = "the very same line of a licence, which every one of these documents repeats"
+    rows = corpus + [(300 + k, sentence(rnd, 9) + shared[k % 4] + sentence(rnd, 5) + shared[k % 3]) for k in range(20)]
+    rows += [(206, sentence(rnd, 30) + shared[0]), (300, shared[1] * 2), (None, shared[0] + shared[1]), (None, None), (400, "ab" * 3000)]
+    rows += [(1000 + k, sentence(rnd, 3) + line + str(k) * 30 + sentence(rnd, 3)) for k in range(200)]
+    want = repeats(rows)
     for bits in (1 << 22, 1 << 13):
-        got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeat_digests(frame(spark, rows), 50, bits).collect()}
-        assert got == want
+        assert Counter(map(tuple, suffix_dedup.repeat_digests(frame(spark, rows), 50, bits).collect())) == want
     assert suffix_dedup.repeat_digests(frame(spark, [])).count() == 0
 
 
+def test_column_order():
+    rnd = random.Random(1)
+    for _ in range(60):
+        strings = [bytes(rnd.choice(b"ab\0") for _ in range(rnd.randint(1, 12))) for _ in range(rnd.randint(1, 9))]
+        length = np.array([len(x) for x in strings])
+        string, n, common = suffix_dedup.column_order(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(length) - length, length, 5)
+        got = [strings[a][len(strings[a]) - b :] for a, b in zip(string, n)]
+        assert got == sorted(x[k:] for x in strings for k in range(len(x) + 1))
+        same = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+        assert common.tolist() == [0] + [min(5, same(a, b)) for a, b in zip(got, got[1:])]
+
+
+def test_suffix_dedup_hot_minimiser():
+    """A group of one minimiser that is larger than a task orders at once."""
+    rnd = random.Random(4)
+    gram = bytes(rnd.choice(b"abcdefgh") for _ in range(50))
+    side = lambda: bytes(rnd.choice(b"xy") for _ in range(6))
+    raw = np.frombuffer(b"".join(side() + gram + side() for _ in range(300)), np.uint8)
+    start, text, low = suffix_dedup.minimisers(raw, np.arange(301) * 62, 50)
+    head = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (text[1:] != text[:-1])))
+    count = np.diff(np.append(head, len(low)))
+    first, length = start[head], count + 49
+    ids = np.array([rnd.randint(0, 50) for _ in head])
+    least: dict[bytes, int] = {}
+    windows = [(raw[f + k : f + k + 50].tobytes(), int(i)) for f, c, i in zip(first, count, ids) for k in range(c)]
+    for w, i in windows:
+        least[w] = min(i, least.get(w, i))
+    assert max(Counter(low[head].tolist()).values()) > 200
+    for most in (1 << 19, 4000, 500):
+        assert suffix_dedup.owners(raw, first, length, ids, 50, most).tolist() == [least[w] for w, _ in windows]
+
+
 def test_tokens(spark, corpus):
     lib = tokenizers.Tokenizer.from_file(registry.vocabulary("byte_bpe_50k.json"))
     rows = corpus + [(500, " a  b \n c  d　e"), (501, "x<|endoftext|> y<|endoftext|>"), (502, "don't we'll  \r\n\r\n end ")]
