@@ -37,7 +37,7 @@ GRAM, RUN, BUCKETS = 20, 64, 1024
 
 
 def minimisers(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, text and minimiser of each window of the texts."""
+    """Start, text and minimiser of each window of the texts. Minima are small numbers, so they are mixed again to spread evenly."""
     n = len(raw) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -52,7 +52,7 @@ def minimisers(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     count = np.maximum(np.diff(offsets) - size + 1, 0)
     doc = np.repeat(np.arange(len(count)), count)
     start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + offsets[doc]
-    return start, doc, low[start]
+    return start, doc, mix64(low[start] + np.uint64(0x9E3779B97F4A7C15))
 
 
 def shared_filter(docs: DataFrame, size: int, filter_bits: int) -> np.ndarray:
@@ -203,18 +203,18 @@ def least_owners(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least:
 
 
 def owners(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least: np.ndarray, size: int, most: int) -> np.ndarray:
-    """As least_owners, in groups of at most about ``most`` bytes: by minimiser, and one minimiser's windows by their hash."""
+    """As least_owners, in groups of at most about ``most`` bytes: by minimiser, and one minimiser's windows by hash."""
     if int(length.sum()) <= most:
         return least_owners(raw, first, length, least, size)
     count = length - size + 1
     at = np.cumsum(count) - count
     out = np.empty(int(count.sum()), np.int64)
-    near = spread(first, np.full(len(first), size - GRAM + 1))
-    gram = span_hashes(raw, near, near + GRAM).reshape(len(first), -1).min(1)
+    grams = size - GRAM + 1
+    near = spread(first, np.full(len(first), grams))
+    gram = span_hashes(raw, near, near + GRAM).reshape(-1, grams).min(1)
     order = np.argsort(gram, kind="stable")
     cut = np.flatnonzero(np.append(True, gram[order][1:] != gram[order][:-1]))
-    bytes_ = np.add.reduceat(length[order], cut)
-    ends = np.append(cut[1:], len(order))
+    bytes_, ends = np.add.reduceat(length[order], cut), np.append(cut[1:], len(order))
     i = 0
     while i < len(cut):
         j, total = i + 1, int(bytes_[i])
@@ -236,6 +236,28 @@ def owners(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least: np.nda
     return out
 
 
+def met_stretches(raw: np.ndarray, first: np.ndarray, length: np.ndarray, least: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Stretches of windows whose 64-bit hash pieces of different ids hold: piece, first window and windows of each.
+
+    Other windows are nobody else's, as equal windows have equal hashes. So what a piece's surroundings add is not ordered.
+    """
+    count = length - size + 1
+    piece = np.repeat(np.arange(len(length)), count)
+    start = spread(first, count)
+    h = span_hashes(raw, start, start + size)
+    order = np.argsort(h, kind="stable")
+    new = np.append(True, h[order][1:] != h[order][:-1])
+    cut, who = np.flatnonzero(new), least[piece[order]]
+    met = np.empty(len(h), np.bool_)
+    met[order] = (np.minimum.reduceat(who, cut) < np.maximum.reduceat(who, cut))[np.cumsum(new) - 1]
+    edge = np.ones(len(met) + 1, np.bool_)
+    edge[1:-1] = (met[1:] != met[:-1]) | (piece[1:] != piece[:-1])
+    runs = np.flatnonzero(edge)
+    b, e = runs[:-1], runs[1:]
+    b, e = b[met[b]], e[met[b]]
+    return piece[b], b - (np.cumsum(count) - count)[piece[b]], e - b
+
+
 def alike(raw: np.ndarray, length: np.ndarray, widest: int) -> tuple[np.ndarray, np.ndarray]:
     """Equal pieces by all their bytes: one piece of each class, and each piece's class."""
     first = np.cumsum(length) - length
@@ -284,20 +306,32 @@ class Pieces:
         out = [self._thin()]
         ids, keys, begins, length, data = self.held[0]
         one, same = alike(data, length, self.size + RUN - 1)
-        first = np.cumsum(length) - length
-        count = length - self.size + 1
-        hit = owners(data, first[one], length[one], ids[one], self.size, self.most)
-        at = np.cumsum(count[one]) - count[one]
-        hit = hit[spread(at[same], count)] < np.repeat(ids, count)
-        piece = np.repeat(np.arange(len(ids)), count)
-        edge = np.ones(len(hit) + 1, np.bool_)
-        edge[1:-1] = (hit[1:] != hit[:-1]) | (piece[1:] != piece[:-1])
-        runs = np.flatnonzero(edge)
-        b, e = runs[:-1], runs[1:]
-        b, e = b[hit[b]], e[hit[b]]
-        p = piece[b]
-        base = (np.cumsum(count) - count)[p]
-        out.append((ids[p], keys[p], begins[p] + b - base, begins[p] + e - base + self.size - 1))
+        # Of distinct pieces: the stretches that meet others, then the distinct ones among those.
+        first = (np.cumsum(length) - length)[one]
+        p, skip, n = met_stretches(data, first, length[one], ids[one], self.size)
+        if len(p):
+            begin, bytes_ = first[p] + skip, n + self.size - 1
+            text = data[spread(begin, bytes_)]
+            some, kind = alike(text, bytes_, self.size + RUN - 1)
+            least = np.full(len(some), np.iinfo(np.int64).max)
+            np.minimum.at(least, kind, ids[one][p])
+            low = owners(text, (np.cumsum(bytes_) - bytes_)[some], bytes_[some], least, self.size, self.most)
+            at = np.cumsum(n[some]) - n[some]
+            hit = low[spread(at[kind], n)] < np.repeat(ids[one][p], n)
+            run = np.repeat(np.arange(len(p)), n)
+            edge = np.ones(len(hit) + 1, np.bool_)
+            edge[1:-1] = (hit[1:] != hit[:-1]) | (run[1:] != run[:-1])
+            edges = np.flatnonzero(edge)
+            b, e = edges[:-1], edges[1:]
+            b, e = b[hit[b]], e[hit[b]]
+            base = (np.cumsum(n) - n)[run[b]]
+            q, b, e = p[run[b]], skip[run[b]] + b - base, skip[run[b]] + e - base + self.size - 1
+            # Every piece of a class has its spans.
+            members = np.argsort(same, kind="stable")
+            total = np.bincount(same, minlength=len(one))
+            own = members[spread((np.cumsum(total) - total)[q], total[q])]
+            b, e = np.repeat(b, total[q]), np.repeat(e, total[q])
+            out.append((ids[own], keys[own], begins[own] + b, begins[own] + e))
         self.held = []
         return out
 
@@ -367,8 +401,7 @@ def pieces(docs: DataFrame, size: int, bits, shift: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int64()), *(pa.array(c, pa.binary()) for c in [*packed, text])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = candidate_pieces(batch, size, bits.value, shift) if batch.num_rows else []
+        for got in (candidate_pieces(part, size, bits.value, shift) for batch in batches if batch.num_rows for part in slices(batch, most=1 << 21)):
             if not got:
                 continue
             bucket, ids, keys, begin, length, same, data = got
@@ -385,6 +418,8 @@ def pieces(docs: DataFrame, size: int, bits, shift: int) -> DataFrame:
             if not done.all():
                 keep = ~done
                 yield rows(bucket[keep], ids[keep], keys[keep], begin[keep], length[keep], data[np.repeat(keep, length)])
+            del bucket, ids, keys, begin, length, same, data, got
+        release_memory()
 
     return docs.mapInArrow(run, "bucket long, ids binary, keys binary, begins binary, lengths binary, data binary")
 
