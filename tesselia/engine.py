@@ -53,29 +53,28 @@ def find_slides(spark: SparkSession, cfg: Config, path: str | None = None, recur
     return numbered.withColumns({c: F.lit(None).cast("int") for c in ("bnd_x", "bnd_y", "bnd_w", "bnd_h")})
 
 
-def plan(slides: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
-    """All patches and the candidates that pass the tissue gate. The gate comes before any pixel is read for scoring."""
+def plan(slides: DataFrame, cfg: Config) -> DataFrame:
+    """All patches, with kept: whether the tissue gate lets them through. The gate comes before any pixel is read for scoring."""
     grid = planning.plan(slides, cfg)
     if not cfg.schedule.use_tissue_mask:
-        return grid, grid
+        return grid.withColumn("kept", F.lit(True))
     s = cfg.schedule
-    mask = tissue.coarse_mask(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
-    return grid, tissue.tissue_gate(grid, tissue.integral_arrays(tissue.integral(mask)), s.tissue_mask_min_fraction)
+    images = tissue.tissue_images(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
+    return tissue.tissue_gate(grid, images, s.tissue_mask_min_fraction)
 
 
 def inspect(spark: SparkSession, cfg: Config, path: str | None = None) -> DataFrame:
     """Metadata and planning counts of each slide."""
     slides = find_slides(spark, cfg, path)
-    grid, kept = plan(slides, cfg)
+    patches = plan(slides, cfg)
     frames = planning.output_frames(slides, cfg.model.target_mpp, cfg.schedule.use_bounds).select("slide_id", "path", "width0", "height0", "mpp_x", "mpp_y", "out_w", "out_h", "ampp_x", "ampp_y")
-    return frames.join(planning.planning_summary(grid, kept, cfg.schedule.supertile_px), "slide_id")
+    return frames.join(planning.planning_summary(patches, cfg.schedule.supertile_px, F.col("kept")), "slide_id")
 
 
 def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024, model_path: str | None = None) -> DataFrame:
     """Mask chunks of all slides at once: canvas (the slide), cx, cy, w, h, data."""
     m = cfg.model
-    _, kept = plan(slides, cfg)
-    tiles = planning.supertiles(kept, cfg.schedule.supertile_px, m.patch_px)
+    tiles = planning.supertiles(plan(slides, cfg).filter("kept"), cfg.schedule.supertile_px, m.patch_px)
     frames = planning.output_frames(slides, m.target_mpp, cfg.schedule.use_bounds).withColumns({"level_mpp_x": F.col("mpp_x"), "level_mpp_y": F.col("mpp_y")})
     ready = planning.read_addresses(tiles, frames).withColumn("canvas", F.col("slide_id"))
     probs = scoring.score_supertiles(src.read_regions(ready.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slide_id", "kx", "ky")), m.patch_px, m.batch_size, m.apply_sigmoid, model_path)

@@ -39,14 +39,13 @@ def pixels_per_cm(mpp: Column) -> Column:
 
 
 def pyramid_levels(w: Column, h: Column, least: int) -> Column:
-    """How many halvings (rounded up, as decimation by two gives) leave at least ``least`` pixels a side."""
+    """How many levels lie below the base: a level is halved (rounded up, as decimation by two gives) while both its sides have ``least`` pixels."""
     bound = max(2, least)
     half = lambda s: F.struct(F.ceil(s["w"] / 2).cast("int").alias("w"), F.ceil(s["h"] / 2).cast("int").alias("h"), s["n"].alias("n"))
 
     def step(s, _):
         t = half(s)
-        ok = (F.least(s["w"], s["h"]) >= bound) & (F.least(t["w"], t["h"]) >= bound)
-        return F.when(ok, F.struct(t["w"].alias("w"), t["h"].alias("h"), (s["n"] + 1).alias("n"))).otherwise(s)
+        return F.when(F.least(s["w"], s["h"]) >= bound, F.struct(t["w"].alias("w"), t["h"].alias("h"), (s["n"] + 1).alias("n"))).otherwise(s)
 
     start = F.struct(w.cast("int").alias("w"), h.cast("int").alias("h"), F.lit(0).alias("n"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(31)), start, step, lambda s: s["n"])

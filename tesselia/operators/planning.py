@@ -61,15 +61,14 @@ def supertiles(patches: DataFrame, supertile: int = 4096, patch: int = 512) -> D
     )
 
 
-def planning_summary(grid: DataFrame, kept: DataFrame, supertile: int = 4096) -> DataFrame:
-    """Counts per slide. ``kept`` are the candidates, with flags; ``grid`` the frames' patches."""
-    cell = F.struct(F.expr(f"out_x div {supertile}"), F.expr(f"out_y div {supertile}"))
-    total = grid.groupBy("slide_id").agg(F.count(F.lit(1)).alias("total_grid"))
-    cand = kept.groupBy("slide_id").agg(
-        F.count(F.lit(1)).alias("candidates"), F.count_if("edge").alias("edge_patches"), F.count_if("padded").alias("padded_patches"), F.countDistinct(cell).alias("supertiles")
-    )
-    zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("candidates", "edge_patches", "padded_patches", "supertiles")}
-    return total.join(cand, "slide_id", "left").withColumns(zero)
+def planning_summary(grid: DataFrame, supertile: int = 4096, kept: Column | None = None) -> DataFrame:
+    """Counts per slide in one pass over the frames' patches, with flags; ``kept`` tells candidates (all, if not given)."""
+    kept = F.lit(True) if kept is None else kept
+    cell = F.when(kept, F.struct(F.expr(f"out_x div {supertile}"), F.expr(f"out_y div {supertile}")))
+    return grid.groupBy("slide_id").agg(
+        F.count(F.lit(1)).alias("total_grid"), F.count_if(kept).alias("candidates"), F.count_if(kept & F.col("edge")).alias("edge_patches"),
+        F.count_if(kept & F.col("padded")).alias("padded_patches"), F.countDistinct(cell).alias("supertiles"),
+    )
 
 
 def planning_ratios(summary: DataFrame) -> DataFrame:

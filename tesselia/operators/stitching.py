@@ -61,10 +61,10 @@ def paint_chunks(patches: DataFrame, patch: int, halo: int, supertile: int, chun
     return p.select(columns).groupBy("canvas", "cx", "cy").applyInPandas(paint, f"canvas {kind}, cx int, cy int, w int, h int, data binary")
 
 
-def pyramid(mask: DataFrame, least: int = 4, most: int = 12) -> DataFrame:
-    """Levels of a mask by dropping every other row and column, while both sides keep ``least`` pixels."""
+def pyramid(mask: DataFrame, least: int = 4) -> DataFrame:
+    """Levels of a mask by dropping every other row and column of the level above, while that has ``least`` pixels on both sides."""
     sizes = mask.groupBy("canvas").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-    levels = sizes.select("canvas", F.explode(F.sequence(F.lit(0), F.least(g.pyramid_levels(F.col("w"), F.col("h"), least), F.lit(most)))).alias("level"))
+    levels = sizes.select("canvas", F.explode(F.sequence(F.lit(0), g.pyramid_levels(F.col("w"), F.col("h"), least))).alias("level"))
     step = F.expr("shiftleft(1, level)")
     on = mask.join(levels, "canvas").filter((F.col("x") % step == 0) & (F.col("y") % step == 0))
     return on.select("canvas", "level", F.expr("cast(x div shiftleft(1, level) as int)").alias("x"), F.expr("cast(y div shiftleft(1, level) as int)").alias("y"), "mask")

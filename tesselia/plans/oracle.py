@@ -149,7 +149,7 @@ NAME = f"'slide_' || slide_id || {_nth(['.SVS', '.tiff', '.txt', '.mrxs', '.json
 COLOUR = f"ltrim({_nth(['#ff8000', '00FF7f', '#12345', 'zz0000', ''])}, '#')"
 _hex = lambda i: f"CASE WHEN regexp_full_match(c, '[0-9a-fA-F]{{6}}') THEN ('0x' || substr(c, {i}, 2))::INT ELSE 255 END"
 _place = lambda c, full, t: f"round_even({c} * {t} / {full}, 0)::INT"
-_halves = f"WITH RECURSIVE {FRAMES}, h AS (SELECT slide_id, out_w AS w, out_h AS h, 0 AS n FROM frames UNION ALL SELECT slide_id, (w + 1) // 2, (h + 1) // 2, n + 1 FROM h WHERE least(w, h) >= 512 AND least((w + 1) // 2, (h + 1) // 2) >= 512)"
+_halves = f"WITH RECURSIVE {FRAMES}, h AS (SELECT slide_id, out_w AS w, out_h AS h, 0 AS n FROM frames UNION ALL SELECT slide_id, (w + 1) // 2, (h + 1) // 2, n + 1 FROM h WHERE least(w, h) >= 512)"
 
 ORACLE_SQL = {
     "q_output_frame": f"WITH {FRAMES} SELECT slide_id, origin_x, origin_y, frame_w, frame_h, out_w, out_h, ampp_x, ampp_y FROM frames",
@@ -195,15 +195,15 @@ ORACLE_SQL = {
     "q_mask_255": f"WITH {STITCH} SELECT canvas, x, y, mask * 255 AS value FROM stitch",
     "q_mask_area": f"WITH {STITCH} SELECT canvas, sum(mask)::BIGINT AS area, count(*) AS written FROM stitch GROUP BY 1",
     "q_pyramid": f"""WITH RECURSIVE {STITCH}, size AS (SELECT canvas, max(x) + 1 AS w, max(y) + 1 AS h FROM stitch GROUP BY 1), lv AS (SELECT canvas, w, h, 0 AS level FROM size
-      UNION ALL SELECT canvas, (w + 1) // 2, (h + 1) // 2, level + 1 FROM lv WHERE least(w, h) >= 4 AND least((w + 1) // 2, (h + 1) // 2) >= 4)
+      UNION ALL SELECT canvas, (w + 1) // 2, (h + 1) // 2, level + 1 FROM lv WHERE least(w, h) >= 4)
       SELECT s.canvas, level, (x // (1 << level))::INT AS x, (y // (1 << level))::INT AS y, mask FROM stitch s JOIN lv USING (canvas) WHERE x % (1 << level) = 0 AND y % (1 << level) = 0""",
     "q_preview_nearest": f"""WITH {STITCH}, g AS (SELECT canvas, px::INT AS px, py::INT AS py, floor((px + 0.5::DOUBLE) * {SC} / 20)::INT AS x, floor((py + 0.5::DOUBLE) * {SC} / 17)::INT AS y FROM (SELECT DISTINCT canvas FROM spots), (SELECT unnest(range(20)) AS px), (SELECT unnest(range(17)) AS py))
       SELECT g.canvas, px, py, coalesce(mask, 0) * 255 AS value FROM g LEFT JOIN stitch USING (canvas, x, y)""",
     "q_progress_sampling": """WITH n AS (SELECT user_id AS run_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS idx, count(*) OVER (PARTITION BY user_id) AS total FROM events)
       SELECT run_id, event_id, idx, total FROM n WHERE idx = 1 OR idx = total OR idx % 8 = 0""",
     "q_event_counts": "SELECT user_id AS run_id, event_type AS event, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY ALL",
-    "q_run_throughput": f"WITH {RUNS} SELECT run_id, " + ", ".join(f"round({k}_patches / greatest({s}_seconds, 1e-9::DOUBLE), 3) AS {k}_per_{s}_second" for k in ("grid", "candidate") for s in ("wall", "processing")) + " FROM runs",
-    "q_batch_summary": f"WITH {RUNS} SELECT slide_stem, run_id, grid_patches, candidate_patches, round(wall_seconds, 6) AS wall_seconds, round(processing_seconds, 6) AS processing_seconds, round(candidate_patches / wall_seconds, 6) AS candidates_per_second FROM runs WHERE wall_seconds > 0",
+    "q_run_throughput": f"WITH {RUNS} SELECT run_id, " + ", ".join(f"round({k}_patches / greatest({s}_seconds, 1e-9::DOUBLE), 6) AS {k}_per_{s}_second" for k in ("grid", "candidate") for s in ("wall", "processing")) + " FROM runs",
+    "q_batch_summary": f"WITH {RUNS} SELECT slide_stem, run_id, grid_patches, candidate_patches, round(wall_seconds, 6) AS wall_seconds, round(processing_seconds, 6) AS processing_seconds, round(candidate_patches / greatest(wall_seconds, 1e-9::DOUBLE), 6) AS candidates_per_second FROM runs",
     "q_latest_runs": f"WITH {RUNS} SELECT slide_stem, run_id, grid_patches, wall_seconds FROM (SELECT *, row_number() OVER (PARTITION BY slide_stem ORDER BY run_id DESC) AS rk FROM runs) WHERE rk = 1",
     "q_format_bytes": f"WITH n AS (SELECT o_orderkey, (o_orderkey * [1, 512, 65536, 16777216, 4294967296][(o_orderkey % 5 + 1)::INT])::BIGINT AS n FROM orders) SELECT o_orderkey, {_bytes('n')} AS size FROM n",
     "q_utc_ts": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS stamp FROM orders",

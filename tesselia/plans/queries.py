@@ -60,8 +60,7 @@ def q_supertiles(s, sf):
 
 
 def q_planning_summary(s, sf):
-    p = planned(s, sf)
-    return pl.planning_summary(p, p, v.TILE)
+    return pl.planning_summary(planned(s, sf), v.TILE)
 
 
 def q_planning_ratios(s, sf):
@@ -165,29 +164,23 @@ def q_otsu(s, sf):
 
 
 def q_tissue_mask(s, sf):
-    return ts.raw_mask(ts.gray_hsv(v.thumbs(s, sf)))
+    return ts.cells(ts.tissue_images(v.thumb_images(s, sf)), "raw", "mask")
 
 
 def q_morphology(s, sf):
-    return ts.coarse_mask(v.thumbs(s, sf))
+    return ts.cells(ts.tissue_images(v.thumb_images(s, sf)), "mask", "mask")
 
 
 def q_integral(s, sf):
-    return ts.integral(ts.coarse_mask(v.thumbs(s, sf)))
-
-
-def _fractions(s, sf):
-    some = planned(s, sf)
-    return ts.with_fraction(some, ts.integral_arrays(q_integral(s, sf)))
+    return ts.cells(ts.tissue_images(v.thumb_images(s, sf)), "sums", "integral")
 
 
 def q_tissue_fraction(s, sf):
-    return _fractions(s, sf).select("slide_id", "out_x", "out_y", F.round("fraction", 6).alias("fraction"))
+    return ts.with_fraction(planned(s, sf), ts.tissue_images(v.thumb_images(s, sf))).select("slide_id", "out_x", "out_y", F.round("fraction", 6).alias("fraction"))
 
 
 def q_gated_plan(s, sf):
-    some = planned(s, sf)
-    return pl.planning_summary(some, ts.tissue_gate(some, ts.integral_arrays(q_integral(s, sf)), 0.2), v.TILE)
+    return pl.planning_summary(ts.tissue_gate(planned(s, sf), ts.tissue_images(v.thumb_images(s, sf)), 0.2), v.TILE, F.col("kept"))
 
 
 def _pixels(s, sf):
@@ -299,11 +292,11 @@ def q_event_counts(s, sf):
 
 def q_run_throughput(s, sf):
     t = rn.throughput(v.runs(s, sf))
-    return t.select("run_id", *[F.round(c, 3).alias(c) for c in t.columns if "_per_" in c])
+    return t.select("run_id", *[F.round(c, 6).alias(c) for c in t.columns if "_per_" in c])
 
 
 def q_batch_summary(s, sf):
-    return rn.batch_summary(v.runs(s, sf).withColumn("candidates_per_second", F.col("candidate_patches") / F.greatest("wall_seconds", F.lit(1e-9))).filter("wall_seconds > 0"))
+    return rn.batch_summary(v.runs(s, sf).withColumn("candidates_per_second", F.col("candidate_patches") / F.greatest("wall_seconds", F.lit(1e-9))))
 
 
 def q_latest_runs(s, sf):

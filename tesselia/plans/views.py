@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-
 TARGET, PATCH, STRIDE, HALO, TILE = 0.88, 512, 384, 64, 1024
 #: Logit patches: size, halo, stride and canvas side.
 SMALL, SMALL_HALO, SMALL_STRIDE, CANVAS, SMALL_TILE = 8, 2, 4, 30, 16
@@ -60,6 +61,23 @@ def thumbs(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("slide_id", "tx", "ty", colour(180, 1).alias("r"), colour(60, 7).alias("g"), colour(120, 3).alias("b"))
 
 
+def thumb_images(spark: SparkSession, sf: str) -> DataFrame:
+    """``thumbs``, one row a slide: the pixels as bytes."""
+    ty, tx = np.mgrid[:THUMB_H, :THUMB_W]
+
+    def paint(batches):
+        for batch in batches:
+            n = batch.column(0).to_numpy().astype(np.int64)[:, None, None]
+            rect = (tx >= 2 + n % 7) & (tx < 9 + n % 7) & (ty >= 2) & (ty < 8)
+            noise = (tx * 31 + ty * 17 + n * 13) % 256
+            band = np.broadcast_to((ty >= 9) & (ty < 11), noise.shape)
+            rgb = np.stack([np.where(rect, full, np.where(band, noise * k % 256, 250 + (tx + ty) % 6)) for full, k in ((180, 1), (60, 7), (120, 3))], -1).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in rgb], pa.binary())], ["slide_id", "rgb"])
+
+    s = slides(spark, sf).select("slide_id").mapInArrow(paint, "slide_id int, rgb binary")
+    return s.select("slide_id", F.lit(THUMB_W).alias("thumb_w"), F.lit(THUMB_H).alias("thumb_h"), "rgb")
+
+
 def logit_patches(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings as 8 x 8 logits at the places of a 7 x 7 grid; canvases are numbered by label and block of 49."""
     n = F.row_number().over(W.partitionBy("label").orderBy("vec_id")) - 1

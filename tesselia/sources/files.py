@@ -100,7 +100,7 @@ def tiff_bytes(mask: np.ndarray, mpp: tuple[float, float], tile: int = 512, desc
 def ome_tiff_bytes(mask: np.ndarray, mpp: tuple[float, float], tile: int = 512, least: int = 512) -> bytes:
     """A pyramid: the base page with reduced levels as sub-directories; each level's pixel size doubles."""
     levels = [mask]
-    while min(levels[-1].shape) >= max(2, least) and min((levels[-1].shape[0] + 1) // 2, (levels[-1].shape[1] + 1) // 2) >= max(2, least):
+    while min(levels[-1].shape) >= max(2, least):
         levels.append(levels[-1][::2, ::2])
     h, w = mask.shape
     xml = (

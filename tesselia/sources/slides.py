@@ -103,7 +103,7 @@ def read_regions(tiles: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def thumbnails(slides: DataFrame, most: int = 1536, path_col: str = "path") -> DataFrame:
-    """Long-form thumbnails within most x most pixels: slide_id, tx, ty, r, g, b."""
+    """Thumbnails within most x most pixels: slide_id, thumb_w, thumb_h and rgb, the pixels as bytes."""
     ship(slides.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,8 +112,7 @@ def thumbnails(slides: DataFrame, most: int = 1536, path_col: str = "path") -> D
                 image = read_raster(r[path_col])
                 s = min(1.0, most / max(image.shape[:2]))
                 small = resize_area(image, max(1, round(image.shape[0] * s)), max(1, round(image.shape[1] * s)))
-                ty, tx = np.mgrid[: small.shape[0], : small.shape[1]]
-                yield pd.DataFrame({"slide_id": r["slide_id"], "tx": tx.ravel(), "ty": ty.ravel(), "r": small[..., 0].ravel(), "g": small[..., 1].ravel(), "b": small[..., 2].ravel()}).astype({c: "int32" for c in ("tx", "ty", "r", "g", "b")})
+                yield pd.DataFrame({"slide_id": [r["slide_id"]], "thumb_w": [small.shape[1]], "thumb_h": [small.shape[0]], "rgb": [np.ascontiguousarray(small, np.uint8).tobytes()]})
 
     kind = dict(slides.dtypes)["slide_id"]
-    return slides.select("slide_id", path_col).mapInPandas(run, f"slide_id {kind}, tx int, ty int, r int, g int, b int")
+    return slides.select("slide_id", path_col).mapInPandas(run, f"slide_id {kind}, thumb_w int, thumb_h int, rgb binary")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesselia.config import Config
-from tesselia.functions import geometry as g, parsing as ps
+from tesselia.functions import geometry as g, parsing as ps, pixels as px
 from tesselia.operators import planning, runs, scoring, stitching, tissue
 from tesselia.sources import files, slides as src
 
@@ -92,15 +92,46 @@ def test_otsu_and_morphology(spark):
     two = spark.createDataFrame([(1, 30)] * 8 + [(1, 220)] * 8 + [(2, 7)] * 3, "slide_id int, gray int")
     assert {r.slide_id: r.otsu for r in tissue.otsu(two).collect()} == {1: 30, 2: 0}
     rnd = np.random.RandomState(3).randint(0, 2, (9, 14))
-    rows = [(1, x, y, int(rnd[y, x])) for y in range(9) for x in range(14)]
-    got = {(r.ty, r.tx): r.mask for r in tissue.morphology(spark.createDataFrame(rows, "slide_id int, tx int, ty int, mask int")).collect()}
+    assert tissue.thresholds(np.array([[[30] * 8 + [220] * 8], [[7] * 16]])).tolist() == [30, 0]
+    got = tissue.close_open(np.stack([rnd, 1 - rnd]))[0]
 
     def square(a, k, f):
         p = np.pad(a, k, mode="edge")
         return f([p[i : i + a.shape[0], j : j + a.shape[1]] for i in range(2 * k + 1) for j in range(2 * k + 1)], axis=0)
 
     want = square(square(square(square(rnd, 2, np.max), 2, np.min), 1, np.min), 1, np.max)
-    assert all(got[y, x] == want[y, x] for y in range(9) for x in range(14))
+    assert got.tolist() == want.tolist()
+
+
+def test_tissue_chain_does_not_shuffle(spark):
+    """Thumbnails of several sizes in one pass; the gate adds the two exchanges of its join at most, and the plan is computed once."""
+    rnd = np.random.RandomState(5)
+    images = [rnd.randint(0, 256, (h, w, 3), np.uint8) for h, w in ((5, 7), (1, 1), (5, 7), (40, 30))]
+    df = spark.createDataFrame([(i, x.shape[1], x.shape[0], bytearray(x.tobytes())) for i, x in enumerate(images)], "slide_id int, thumb_w int, thumb_h int, rgb binary")
+    long = spark.createDataFrame([(i, int(p[0]), int(p[1]), int(p[2])) for i, x in enumerate(images) for p in x.reshape(-1, 3)], "slide_id int, r int, g int, b int")
+    marked = tissue.gray_hsv(long)
+    count = marked.join(tissue.otsu(marked), "slide_id").filter(px.is_tissue(F.col("gray"), F.col("otsu"), F.col("sat"), F.col("val"))).groupBy("slide_id").count()
+    want = {r["slide_id"]: r["count"] for r in count.collect()}
+    out = tissue.tissue_images(df)
+    for r in out.collect():
+        assert sum(r.raw) == want.get(r.slide_id, 0) and r.sums[-1] == sum(r.mask) and len(r.sums) == r.thumb_w * r.thumb_h
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(out)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from tesselia.plans import queries
+
+        assert plan(queries.q_gated_plan(spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("w, h, least, levels", [(1024, 1024, 512, 2), (1023, 1023, 512, 2), (4096, 4096, 512, 4), (1024, 1024, 256, 3), (511, 9000, 512, 0), (1, 1, 0, 0), (2, 2, 0, 1)])
+def test_pyramid_levels(spark, w, h, least, levels):
+    got = spark.range(1).select(g.pyramid_levels(F.lit(w), F.lit(h), least).alias("n")).first().n
+    body = files.ome_tiff_bytes(np.zeros((h, w), np.uint8), (0.5, 0.5), 256, least)
+    assert got == levels and body.count(struct.pack("<HHQ", 254, 4, 1) + b"\1") == levels
 
 
 def test_config(tmp_path):
