@@ -1,13 +1,14 @@
 """Document quality by co-training two views.
 
-The content view sees a text's words and marks; the metadata view sees what describes the page: language,
-source, length, lines and shares of character classes, each in buckets. Each view's classifier is trained on the
+The content view sees a text's words and marks, and measures of it in buckets (size, lines, shares of character classes). The metadata view sees
+only what the page states about itself: language, source and length. Each view's classifier is trained on the
 labelled rows; over ``rounds`` each hands its confident labels for unlabelled rows to the other. Both are then calibrated
 on labelled rows kept aside, and a stacked logistic model of the two calibrated views scores all documents.
 
 Training uses at most ``max_rows`` labelled rows and a pool of ``max_pool`` documents without a label, each in the order of a hash of the id; scoring
-reads whole texts of all rows without a shuffle. Null text is empty, null metadata a bucket of its own. Without labels
-every document scores 1 and is kept.
+reads whole texts of all rows, however long, without a shuffle. Null text is empty, null metadata a bucket of its own. With fewer than 10
+labelled rows, or labels all alike, there is no model: every document scores 1 and is kept. Repeated rows each get
+their score; an empty table gives no rows; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -21,19 +22,20 @@ from pyspark.sql import DataFrame, functions as F
 from .common import DOC_COLUMNS, filter_by, map_arrow, mix64, pick, slices, utf8_buffers
 from .linear import Vocabulary, choose, features, fit, gather, logits, matrix, sample_labels, sigmoid
 
-#: Buckets a measure; measures: size, lines, mean line, mean word, shares of capitals, marks, digits, repeated marks.
+#: Buckets a measure of the text; measures: size, lines, mean line, mean word, shares of capitals, marks, digits, repeated marks.
 _BUCKETS, _MEASURES = 12, 8
-META_WIDTH = _MEASURES * _BUCKETS + 512
+#: Buckets of the page's length (one for null) and of each of its two names.
+_LENGTHS, _NAMES = 40, 256
+META_WIDTH, META_FIELDS = _LENGTHS + 2 * _NAMES, 3
 
 
-def page_view(batch: pa.RecordBatch) -> np.ndarray:
-    """Feature numbers, one column a measure or field, of each row."""
+def text_measures(batch: pa.RecordBatch) -> np.ndarray:
+    """Content view beside the tokens: one feature number a measure of each row."""
     raw, offsets = utf8_buffers(batch.column("text"))
-    n = len(offsets) - 1
     size = np.diff(offsets).astype(float)
 
     def total(mask: np.ndarray) -> np.ndarray:
-        s = np.concatenate([[0], np.cumsum(mask)])
+        s = np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
         return (s[offsets[1:]] - s[offsets[:-1]]).astype(float)
 
     lines = total(raw == 10) + 1
@@ -44,13 +46,25 @@ def page_view(batch: pa.RecordBatch) -> np.ndarray:
     twice[1:] = mark[1:] & (raw[1:] == raw[:-1])
     share = lambda x: np.floor(np.log2(1 + 1000 * x / np.maximum(size, 1)))
     measures = [np.log2(1 + size) / 1.5, np.log2(lines), np.log2(1 + size / lines), 2 * np.log2(1 + size / gaps), share(upper), share(total(mark)), share(digit), share(total(twice))]
-    cols = [np.clip(m, 0, _BUCKETS - 1).astype(np.int64) + i * _BUCKETS for i, m in enumerate(measures)]
+    return np.stack([np.clip(m, 0, _BUCKETS - 1).astype(np.int64) + i * _BUCKETS for i, m in enumerate(measures)], 1)
+
+
+def page_view(batch: pa.RecordBatch) -> np.ndarray:
+    """Metadata view: feature numbers of a row's length, language and source, as the page states them. Nothing of the text."""
+    chars = batch.column("n_chars").to_pylist()
+    cols = [np.array([0 if c is None else 1 + min(_LENGTHS - 2, int(2 * np.log2(1 + max(0, c)))) for c in chars], np.int64)]
     for k, name in enumerate(("lang", "source")):
         values = batch.column(name).to_pylist()
         known = {v: 0 if v is None else int.from_bytes(hashlib.blake2b(("=" + str(v)).encode(), digest_size=8).digest(), "little") for v in set(values)}
         h = np.array([known[v] for v in values], np.uint64)
-        cols.append((mix64(h) & np.uint64(255)).astype(np.int64) + _MEASURES * _BUCKETS + 256 * k)
-    return np.stack(cols, 1) if n else np.zeros((0, _MEASURES + 2), np.int64)
+        cols.append((mix64(h) & np.uint64(_NAMES - 1)).astype(np.int64) + _LENGTHS + _NAMES * k)
+    return np.stack(cols, 1)
+
+
+def content(rows: tuple[np.ndarray, np.ndarray], measures: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rows and features of the content view: ``words`` tokens, then the measures."""
+    n, k = measures.shape
+    return np.concatenate([rows[0], np.repeat(np.arange(n), k)]), np.concatenate([rows[1], words + measures.ravel()]), n
 
 
 class QualityModel:
@@ -66,20 +80,20 @@ class QualityModel:
     def score(self, batch: pa.RecordBatch) -> np.ndarray:
         out = []
         for part in slices(batch):
-            zt = logits((*self.vocab.index(*features(part, False)), part.num_rows), self.text)
+            zt = logits(content(self.vocab.index(*features(part, False)), text_measures(part), len(self.vocab.hashes)), self.text)
             out.append(self.combine(zt, self.meta[page_view(part)].sum(1) + self.meta[-1]))
         return np.concatenate(out) if out else np.zeros(0)
 
 
 def _docs(docs: DataFrame) -> DataFrame:
-    d = pick(docs, "doc_id", "text", "lang", "source", doc_id="long", text="string", lang="string", source="string")
+    d = pick(docs, *DOC_COLUMNS, doc_id="long", text="string", lang="string", source="string", n_chars="long")
     return d.withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def _with_view(docs: DataFrame) -> DataFrame:
     def make():
         def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-            view = np.concatenate([page_view(p) for p in slices(batch)])
+            view = np.concatenate([np.concatenate([text_measures(p), page_view(p)], 1) for p in slices(batch)])
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), batch.column("label"), pa.array(list(view.astype(np.int32)), pa.list_(pa.int32()))], ["doc_id", "text", "label", "view"])
 
         return f
@@ -117,29 +131,33 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     if len(known) < 10 or y.min() == y.max():
         return None
     hashes = lambda rs: [np.frombuffer(r["hashes"], np.uint64) for r in rs]
-    views = lambda rs: np.array([r["view"] for r in rs], np.int64).reshape(len(rs), _MEASURES + 2)
+    views = lambda rs: np.array([r["view"] for r in rs], np.int64).reshape(len(rs), _MEASURES + META_FIELDS)
     aside = np.arange(len(known)) % 5 == 0
     vocab = choose([h for h, a in zip(hashes(known), aside) if not a], y[~aside], width)
+    words = len(vocab.hashes)
+
+    def text_x(h: list[np.ndarray], v: np.ndarray):
+        return content(matrix(h, vocab)[:2], v[:, :_MEASURES], words)
 
     def meta_x(v: np.ndarray):
-        return np.repeat(np.arange(len(v)), v.shape[1]), v.ravel(), len(v)
+        return np.repeat(np.arange(len(v)), META_FIELDS), v[:, _MEASURES:].ravel(), len(v)
 
     own = [r for r, a in zip(known, aside) if not a]
-    th, mv, ty = hashes(own), views(own), y[~aside]
+    th, tv, ty = hashes(own), views(own), y[~aside]
     ph, pv = hashes(pool), views(pool)
     extra_t, extra_m = np.full(len(pool), np.nan), np.full(len(pool), np.nan)
     for r in range(rounds + 1):
         t_rows, m_rows = ~np.isnan(extra_t), ~np.isnan(extra_m)
-        xt = matrix(th + [h for h, k in zip(ph, t_rows) if k], vocab)
-        wt = fit(xt, np.concatenate([ty, extra_t[t_rows]]), len(vocab.hashes), 1e-3, 150)
-        wm = fit(meta_x(np.concatenate([mv, pv[m_rows]])), np.concatenate([ty, extra_m[m_rows]]), META_WIDTH, 1e-3, 150)
+        xt = text_x(th + [h for h, k in zip(ph, t_rows) if k], np.concatenate([tv, pv[t_rows]]))
+        wt = fit(xt, np.concatenate([ty, extra_t[t_rows]]), words + _MEASURES * _BUCKETS, 1e-3, 150)
+        wm = fit(meta_x(np.concatenate([tv, pv[m_rows]])), np.concatenate([ty, extra_m[m_rows]]), META_WIDTH, 1e-3, 150)
         if r == rounds or not pool:
             break
-        pt, pm = sigmoid(logits(matrix(ph, vocab), wt)), sigmoid(wm[pv].sum(1) + wm[-1])
+        pt, pm = sigmoid(logits(text_x(ph, pv), wt)), sigmoid(logits(meta_x(pv), wm))
         extra_m = np.where(pt > sure, 1.0, np.where(pt < 1 - sure, 0.0, np.nan))
         extra_t = np.where(pm > sure, 1.0, np.where(pm < 1 - sure, 0.0, np.nan))
     test = [r for r, a in zip(known, aside) if a]
-    zt, zm, y_test = logits(matrix(hashes(test), vocab), wt), wm[views(test)].sum(1) + wm[-1], y[aside]
+    zt, zm, y_test = logits(text_x(hashes(test), views(test)), wt), logits(meta_x(views(test)), wm), y[aside]
     at, bt = _platt(zt, y_test)
     am, bm = _platt(zm, y_test)
     a, b = _platt((at * zt + bt + am * zm + bm) / 2, y_test)
@@ -161,7 +179,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, threshold: float
                 s = m.score(batch)
                 return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array(s >= threshold)], ["doc_id", "score", "kept"])
             text = batch.column("text").fill_null("")
-            s = m.score(pa.RecordBatch.from_arrays([text, batch.column("lang"), batch.column("source")], ["text", "lang", "source"]))
+            s = m.score(pa.RecordBatch.from_arrays([text, *(batch.column(k) for k in ("lang", "source", "n_chars"))], ["text", "lang", "source", "n_chars"]))
             return batch.filter(pa.array(s >= threshold))
 
         return f

@@ -348,7 +348,7 @@ def test_quality_pool(spark, monkeypatch):
 
 def test_quality_sources():
     values = [f"https://site{i}.example.org/" for i in range(40)] + [None, ""]
-    batch = pa.RecordBatch.from_pydict({"text": ["x"] * 42, "lang": ["en"] * 42, "source": values}, pa.schema([("text", "string"), ("lang", "string"), ("source", "string")]))
+    batch = pa.RecordBatch.from_pydict({"text": ["x"] * 42, "lang": ["en"] * 42, "source": values, "n_chars": [None, *range(41)]}, pa.schema([("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "int64")]))
     assert len(set(quality.page_view(batch)[:, -1].tolist())) > 30
 
 
