@@ -7,7 +7,8 @@ mentions of a group don't raise the score.
 Labels are learned from rows that the caller's condition admits, at most ``max_rows`` of them, taken in the order of a
 hash of the id; this bound holds for training only. Scoring reads whole texts of all rows, one lookup a
 token, without a shuffle. The model that is sent to executors has a fixed size. Null and empty texts score as the bias
-does; without any labels the score is 0.5 before thresholding.
+does; without any labels the score is 0.5 before thresholding. Repeated rows each get their score; an empty table gives no rows;
+other columns may have any names.
 """
 
 from __future__ import annotations
@@ -61,8 +62,11 @@ def swap_penalty(x: tuple[np.ndarray, np.ndarray, int], identity: np.ndarray, st
     return grad
 
 
-def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "toxic", max_rows: int = 6000, width: int = 256, swap: float = 30.0, l2: float = 1e-4) -> ToxicModel:
-    """``where`` is a condition on ``doc_id`` of the labelled rows that may be learned from."""
+def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "toxic", max_rows: int = 6000, width: int = 128, swap: float = 30.0, l2: float = 1e-5) -> ToxicModel:
+    """``where`` is a condition on ``doc_id`` of the labelled rows that may be learned from.
+
+    ``width`` and ``l2`` have the smallest log loss of a cross-validation over the three training folds of the contract.
+    """
     chosen = sample_labels(labels, label, max_rows, where)
     rows = gather(texts(docs).join(F.broadcast(chosen), "doc_id"), True, ["label"])
     hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
