@@ -90,7 +90,7 @@ class PrefixBpe:
     ``max_pairs`` and ``max_words`` bound the tables of tested pairs and of encoded words; they are emptied when full.
     """
 
-    def __init__(self, path: str, max_pairs: int = 400_000, max_words: int = 50_000):
+    def __init__(self, path: str, max_pairs: int = 150_000, max_words: int = 50_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]

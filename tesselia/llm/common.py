@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import ship
+from ..session import ship, through_table
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -139,7 +139,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Consecutive zero-copy slices of a batch of about ``most`` bytes of text; a longer text is a slice of its own."""
     sizes = np.diff(np.frombuffer(batch.column(column).cast(pa.large_string()).buffers()[1], np.int64)[: batch.num_rows + 1])
     total = np.cumsum(sizes)
@@ -151,6 +151,11 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) ->
         at = to
 
 
+def narrow_table(df: DataFrame, name: str) -> DataFrame:
+    """through_table for rows of a few numbers: at most four files a core, however many shuffle partitions there are."""
+    return through_table(df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism), name)
+
+
 def filter_by(big: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1 << 25) -> DataFrame:
     """Semi or anti join of wide rows with a table of keys, which must be cheap to count (a written table).
 

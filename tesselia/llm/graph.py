@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import through_table
+from .common import narrow_table
 
 
 def _star(both: DataFrame) -> DataFrame:
@@ -19,13 +19,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Each round is two aggregations and joins over the edges, written to the shared folder; joins are on a node, which
     adaptive execution can split. No node's neighbours are ever gathered in one task.
     """
-    now = through_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-edges")
+    now = narrow_table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-edges")
     seen = None
     for _ in range(rounds):
         large = _star(now.union(now.select("v", "u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small = _star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        now = through_table(small, "cc-edges")
+        now = narrow_table(small, "cc-edges")
         mark = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == seen:
             break

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import ship, through_table
-from .common import ascii_lower, filter_by, map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers, word_spans
+from .common import ascii_lower, filter_by, map_arrow, mix64, narrow_table, release_memory, slices, span_hashes, texts, utf8_buffers, word_spans
 from .graph import components
 
 DEPTH = 8
@@ -361,19 +361,19 @@ def exact_candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 def linked(found: DataFrame, docs: DataFrame, words: int, percent: int, labels: DataFrame | None = None) -> DataFrame:
     """node and component after the candidates ``found`` are confirmed, on top of the components so far."""
-    nodes = through_table(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "near-nodes")
+    nodes = narrow_table(found.select(F.col("a").alias("doc_id")).union(found.select(F.col("b").alias("doc_id"))).distinct(), "near-nodes")
     sets = through_table(set_table(filter_by(texts(docs), nodes, ["doc_id"], "left_semi"), words), "near-sets")
     hooks = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = through_table(confirm(hooks, sets, percent), "near-links")
     edges = lambda known, new: new if known is None else known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)
-    labels = through_table(components(edges(labels, links)), "near-labels")
+    labels = narrow_table(components(edges(labels, links)), "near-labels")
     rest = found.join(hooks, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         rest = rest.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"l{side}")), side, "left")
     rest = rest.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
     more = through_table(confirm(rest, sets, percent), "near-links")
     if more.take(1):
-        labels = through_table(components(edges(labels, more)), "near-labels")
+        labels = narrow_table(components(edges(labels, more)), "near-labels")
     return labels
 
 
@@ -381,19 +381,19 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int =
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept."""
     sigs = through_table(signature_table(docs, words, trees), "near-sigs")
     rows = sigs.select("doc_id", "n_shingles", "ident")
-    classes = through_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
-    others = through_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id", "ident").distinct(), "near-copies")
+    classes = narrow_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
+    others = narrow_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id", "ident").distinct(), "near-copies")
     own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id", "ident"], "left_anti")
     met = through_table(candidates(own, trees, least, leaf, close), "near-candidates")
     labels = linked(met.filter("a < b"), docs, words, percent)
     # An id with several texts is one node: it joins the classes of all of them.
     several = rows.filter("n_shingles > 0").groupBy("doc_id").agg(F.min("ident").alias("lo"), F.max("ident").alias("hi")).filter("lo <> hi").select("doc_id")
     same = rows.filter("n_shingles > 0").join(several, "doc_id").join(classes.select("ident", "node"), "ident").filter("doc_id <> node")
-    same = through_table(same.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "near-same-id")
+    same = narrow_table(same.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(), "near-same-id")
     if same.take(1):
-        labels = through_table(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(same)), "near-labels")
+        labels = narrow_table(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(same)), "near-labels")
     dense = met.filter("a = b").select(F.col("a").alias("doc_id")).join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    dense = through_table(dense.select("doc_id", F.coalesce("component", "doc_id").alias("label")), "near-dense")
+    dense = narrow_table(dense.select("doc_id", F.coalesce("component", "doc_id").alias("label")), "near-dense")
     n_dense = dense.count()
     if n_dense > 1:
         crowd = texts(docs).join(F.broadcast(dense) if n_dense <= 2_000_000 else dense, "doc_id")
@@ -408,5 +408,5 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int =
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group."""
-    gone = through_table(near_groups(docs, words, percent).filter("not kept").select("doc_id").distinct(), "near-gone")
+    gone = narrow_table(near_groups(docs, words, percent).filter("not kept").select("doc_id").distinct(), "near-gone")
     return filter_by(docs, gone, ["doc_id"], "left_anti")
