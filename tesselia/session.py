@@ -11,8 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
-#: Settings that bound Arrow batches, so that workers hold little of long texts at once; set only where a user left the default.
-_BATCHES = [("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")]
+#: Settings that bound batches of rows, so that executors and workers hold little of long texts at once; set only where a user left the default.
+_BATCHES = [("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.parquet.columnarReaderBatchSize", "4096", "1024")]
 
 
 def build_session(cores: int | str = 8, memory: str = "16g", partitions: int = 8) -> SparkSession:
