@@ -17,6 +17,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--slide-path")
     p.add_argument("--model-path")
     p.add_argument("--output-dir")
+    p.add_argument("--recursive", action="store_true", help="look for slides in subfolders too")
+    p.add_argument("--verbose", action="store_true", help="log at the level INFO")
     p.add_argument("--exports", action=argparse.BooleanOptionalAction, default=True)
     a = p.parse_args(argv)
     cfg = Config.from_yaml(a.config) if a.config else Config()
@@ -28,10 +30,11 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(engine.probe_model(cfg, a.model_path)))
         return 0
     spark = build_session()
+    spark.sparkContext.setLogLevel("INFO" if a.verbose else "WARN")
     if a.command == "inspect":
-        engine.inspect(spark, cfg, a.slide_path).show(truncate=False)
+        engine.inspect(spark, cfg, a.slide_path, a.recursive).show(truncate=False)
     else:
-        for row in engine.run(spark, cfg, a.slide_path, a.model_path):
+        for row in engine.run(spark, cfg, a.slide_path, a.model_path, recursive=a.recursive):
             print(json.dumps(row))
     return 0
 

@@ -43,10 +43,11 @@ def new_run_id(cfg: Config) -> str:
 
 
 def find_slides(spark: SparkSession, cfg: Config, path: str | None = None, recursive: bool = False) -> DataFrame:
-    """Raster slides of the given path, else of the configured one, else of data/slides, with numbers."""
+    """Raster slides of the given path, else of the configured one, else of data/slides; the path is the key. An error without any."""
     where = path or cfg.paths.slide_path or "data/slides"
-    found = src.raster_slides(spark, where)
-    numbered = found.withColumn("slide_id", F.abs(F.xxhash64("path")))
+    if not Path(where).exists():
+        raise FileNotFoundError(f"no slides at {where}")
+    numbered = src.raster_slides(spark, where, recursive=recursive).withColumn("slide_id", F.col("path"))
     ox, oy = cfg.slide.mpp_override_x, cfg.slide.mpp_override_y
     if ox or oy:
         numbered = numbered.withColumns({"mpp_x": F.lit(float(ox or oy)), "mpp_y": F.lit(float(oy or ox))})
@@ -63,12 +64,14 @@ def plan(slides: DataFrame, cfg: Config) -> DataFrame:
     return tissue.tissue_gate(grid, images, s.tissue_mask_min_fraction)
 
 
-def inspect(spark: SparkSession, cfg: Config, path: str | None = None) -> DataFrame:
-    """Metadata and planning counts of each slide."""
-    slides = find_slides(spark, cfg, path)
+def inspect(spark: SparkSession, cfg: Config, path: str | None = None, recursive: bool = False) -> DataFrame:
+    """Metadata, frame, planning counts and ratios of each slide."""
+    slides = find_slides(spark, cfg, path, recursive)
     patches = plan(slides, cfg)
-    frames = planning.output_frames(slides, cfg.model.target_mpp, cfg.schedule.use_bounds).select("slide_id", "path", "width0", "height0", "mpp_x", "mpp_y", "out_w", "out_h", "ampp_x", "ampp_y")
-    return frames.join(planning.planning_summary(patches, cfg.schedule.supertile_px, F.col("kept")), "slide_id")
+    frames = planning.output_frames(slides, cfg.model.target_mpp, cfg.schedule.use_bounds).select(
+        "slide_id", "path", "vendor", "width0", "height0", "mpp_x", "mpp_y", "origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y"
+    )
+    return frames.join(planning.planning_ratios(planning.planning_summary(patches, cfg.schedule.supertile_px, F.col("kept"))), "slide_id")
 
 
 def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024, model_path: str | None = None) -> DataFrame:
@@ -81,21 +84,34 @@ def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024
     return stitching.paint_chunks(probs, m.patch_px, m.halo_px, cfg.schedule.supertile_px, chunk, m.threshold)
 
 
-def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: str | None = None, chunk: int = 1024) -> list[dict]:
+def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: str | None = None, chunk: int = 1024, recursive: bool = False) -> list[dict]:
     """Masks of all slides in parallel; per slide a folder with exports, previews, run.json and events.jsonl."""
     began = time.time()
-    slides = find_slides(spark, cfg, path)
-    chunks = through_table(masks(spark, cfg, slides, chunk, model_path), "mask-chunks")
-    processed = time.time()
-    summaries = []
-    for r in inspect(spark, cfg, path).toLocalIterator():
-        stem, run_id = Path(r["path"]).stem, new_run_id(cfg)
-        folder = Path(cfg.paths.output_dir) / stem / run_id
+    slides = find_slides(spark, cfg, path, recursive)
+    opened = []
+    for r in inspect(spark, cfg, path, recursive).toLocalIterator():
+        run_id = new_run_id(cfg)
+        folder = Path(cfg.paths.output_dir) / Path(r["path"]).stem / run_id
         folder.mkdir(parents=True, exist_ok=True)
         log = files.EventLog(folder)
         log.event("slide_opened", path=r["path"])
         log.event("planning_complete", total_grid=r["total_grid"], candidates=r["candidates"])
+        log.event("model_loaded", model=model_path or "built-in")
+        log.event("processing_started", supertiles=r["supertiles"])
+        opened.append((r, run_id, folder, log))
+    planned = time.time()
+    chunks = through_table(masks(spark, cfg, slides, chunk, model_path), "mask-chunks")
+    tissues = None
+    if cfg.output.write_previews and cfg.schedule.use_tissue_mask:
+        s = cfg.schedule
+        images = tissue.tissue_images(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
+        tissues = through_table(images.select("slide_id", "thumb_w", "thumb_h", "mask"), "tissue-masks")
+    processed = time.time()
+    summaries = []
+    for r, run_id, folder, log in opened:
+        log.event("supertile_progress", done=r["supertiles"], total=r["supertiles"])
         mpp = (r["ampp_x"], r["ampp_y"])
+        exporting = time.time()
         if cfg.output.exports_requested:
             mask = files.assemble(chunks.filter(F.col("canvas") == r["slide_id"]), r["out_w"], r["out_h"], chunk)
             full = mask * np.uint8(255)
@@ -111,16 +127,28 @@ def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: s
                 base = scoring.resize_area(src.read_raster(r["path"]), h, w)
                 (folder / "preview_mask.png").write_bytes(files.png_bytes(small))
                 (folder / "preview_overlay.png").write_bytes(files.png_bytes(scoring.overlay(base, small)))
+                for t in tissues.filter(F.col("slide_id") == r["slide_id"]).collect() if tissues is not None else []:
+                    (folder / "preview_tissue.png").write_bytes(files.png_bytes((np.array(t["mask"], np.uint8) * np.uint8(255)).reshape(t["thumb_h"], t["thumb_w"])))
             log.event("exports_complete")
         else:
             log.event("exports_skipped")
-        wall = time.time() - began
+        ended = time.time()
+        wall, loop = ended - began, processed - planned
         row = {
-            "slide_stem": stem, "run_id": run_id, "grid_patches": r["total_grid"], "candidate_patches": r["candidates"], "supertiles": r["supertiles"],
-            "wall_seconds": round(wall, 6), "processing_seconds": round(processed - began, 6), "candidate_patches_per_second": round(r["candidates"] / max(wall, 1e-9), 6), "run_dir": str(folder),
+            "slide_stem": folder.parent.name, "run_id": run_id, "grid_patches": r["total_grid"], "candidate_patches": r["candidates"], "supertiles": r["supertiles"],
+            "wall_seconds": round(wall, 6), "processing_seconds": round(loop, 6), "candidate_patches_per_second": round(r["candidates"] / max(wall, 1e-9), 6), "run_dir": str(folder),
+        }
+        some = lambda *names: {k: r[k] for k in names}
+        manifest = row | {
+            "slide": some("path", "vendor", "width0", "height0", "mpp_x", "mpp_y"),
+            "frame": some("origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y"),
+            "planning": some("total_grid", "candidates", "edge_patches", "padded_patches", "supertiles", "candidate_over_grid", "candidates_per_supertile"),
+            "timing": {"wall": round(wall, 6), "components": {"planning": round(planned - began, 6), "processing": round(loop, 6), "exports": round(ended - exporting, 6)}},
+            "throughput": {f"{k}_per_{n}_second": round(r[c] / max(t, 1e-9), 6) for k, c in (("grid", "total_grid"), ("candidate", "candidates")) for n, t in (("wall", wall), ("processing", loop))},
+            "mask_to_level0": {"origin": [r["origin_x"], r["origin_y"]], "scale": [r["ampp_x"] / r["mpp_x"], r["ampp_y"] / r["mpp_y"]]},
+            "git": git_info(), "config": asdict(cfg),
         }
-        back = {"x": "origin_x_level0 + x_mask * actual_output_mpp_x / base_mpp_x", "y": "origin_y_level0 + y_mask * actual_output_mpp_y / base_mpp_y"}
-        files.write_json(row | {"slide": r.asDict(), "git": git_info(), "mask_to_level0": back, "config": asdict(cfg)}, folder / "run.json")
+        files.write_json(manifest, folder / "run.json")
         log.event("run_complete", wall_seconds=wall)
         summaries.append(row)
     if len(summaries) > 1:

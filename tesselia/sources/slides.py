@@ -47,7 +47,10 @@ class _RasterReader(DataSourceReader):
     def __init__(self, options):
         self.mpp = float(options.get("mpp", "0.5"))
         top = Path(options["path"])
-        found = [top] if top.is_file() else sorted(p for p in top.rglob("*") if p.suffix.lower() in (".ppm", ".npy"))
+        every = top.rglob("*") if options.get("recursive", "false") == "true" else top.glob("*")
+        found = [top] if top.is_file() else sorted(p for p in every if p.suffix.lower() in (".ppm", ".npy"))
+        if not found:
+            raise FileNotFoundError(f"no slides at {top}")
         self.paths = [str(p) for p in found]
 
     def partitions(self):
@@ -72,10 +75,10 @@ class RasterSlides(DataSource):
         return _RasterReader(self.options)
 
 
-def raster_slides(spark: SparkSession, path: str, mpp: float = 0.5) -> DataFrame:
+def raster_slides(spark: SparkSession, path: str, mpp: float = 0.5, recursive: bool = False) -> DataFrame:
     ship(spark)
     spark.dataSource.register(RasterSlides)
-    return spark.read.format("raster_slides").option("mpp", str(mpp)).load(path)
+    return spark.read.format("raster_slides").option("mpp", str(mpp)).option("recursive", str(recursive).lower()).load(path)
 
 
 def read_regions(tiles: DataFrame, path_col: str = "path") -> DataFrame:

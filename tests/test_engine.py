@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tesselia import engine
@@ -23,8 +24,12 @@ def test_run(spark, tmp_path):
     rows = engine.run(spark, cfg, str(tmp_path), chunk=256)
     assert len(rows) == 2
     folder = Path(next(r for r in rows if r["slide_stem"] == "one")["run_dir"])
-    assert {p.name for p in folder.iterdir()} >= {"mask.tiff", "mask.ome.tiff", "preview_mask.png", "preview_overlay.png", "run.json", "events.jsonl"}
-    assert json.loads((folder / "run.json").read_text())["grid_patches"] == 70
+    assert {p.name for p in folder.iterdir()} >= {"mask.tiff", "mask.ome.tiff", "preview_mask.png", "preview_overlay.png", "preview_tissue.png", "run.json", "events.jsonl"}
+    manifest = json.loads((folder / "run.json").read_text())
+    assert manifest["grid_patches"] == manifest["planning"]["total_grid"] == 70 and manifest["mask_to_level0"] == {"origin": [0, 0], "scale": [1.0, 1.0]}
+    assert set(manifest["timing"]["components"]) == {"planning", "processing", "exports"} and len(manifest["throughput"]) == 4
+    events = [json.loads(x)["event"] for x in (folder / "events.jsonl").read_text().splitlines()]
+    assert events == ["slide_opened", "planning_complete", "model_loaded", "processing_started", "supertile_progress", "exports_complete", "run_complete"]
     chunks = engine.masks(spark, cfg, engine.find_slides(spark, cfg, str(tmp_path / "one.npy")), chunk=256)
     from tesselia.sources.files import assemble
 
@@ -32,6 +37,16 @@ def test_run(spark, tmp_path):
     assert (mask[200:500, 100:600] == 1).mean() > 0.99 and mask[:150].mean() < 0.01
 
 
+def test_no_slides(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    np.save(tmp_path / "deep" / "one.npy", np.zeros((9, 9, 3), np.uint8))
+    with pytest.raises(FileNotFoundError):
+        engine.find_slides(spark, Config.from_dict({}), str(tmp_path / "none"))
+    with pytest.raises(Exception, match="no slides"):
+        engine.find_slides(spark, Config.from_dict({}), str(tmp_path)).count()
+    assert engine.find_slides(spark, Config.from_dict({}), str(tmp_path), recursive=True).count() == 1
+
+
 def test_stream(spark, tmp_path):
     e = spark.range(100).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"), (F.col("id") % 3).alias("run_id"), F.lit("x").alias("event"), F.lit(1.0).alias("seconds"))
     e.write.parquet(str(tmp_path / "in"))
