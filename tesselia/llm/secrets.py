@@ -9,13 +9,15 @@ they got there by a constant.
 Base findings are leftmost non-overlapping matches of each kind, those too short dropped; they always stay. Lexed literals that
 overlap a base finding are the same secret and are not repeated. Spans are in code points, end exclusive. Null and
 empty texts have none. No shuffle; texts without any of the patterns' literals are skipped by a linear-time
-filter over the whole Arrow column, and time is linear in a text's length.
+filter over the whole Arrow column; time grows as a text's length (spans meet base findings by bisection). Repeated rows are each
+scanned, an empty table gives no rows, and other columns may have any names.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -36,6 +38,10 @@ _TOKEN = re.compile(
     re.ASCII,
 )
 _BARE = re.compile(r"""[^\s,;"'(){}\[\]<>#]+""")
+#: A member of something, as in a.b, is looked up and no literal.
+_MEMBER = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)+", re.ASCII).fullmatch
+#: A literal with a prefix or three quotes, as after an assignment.
+_STRING = re.compile(r"""(?:[rbuRBUfF]{1,2})?(?:\"{3}(?P<a>(?:[^"\\]|\\.|"(?!""))*)\"{3}|'{3}(?P<b>(?:[^'\\]|\\.|'(?!''))*)'{3}|"(?P<c>(?:[^"\\\n]|\\.)*)"|'(?P<d>(?:[^'\\\n]|\\.)*)')""", re.DOTALL)
 _BLANK = re.compile(r"[ \t]*")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _STRONG = {"password", "passwd", "passphrase", "pwd", "secret", "token", "credential", "credentials", "apikey", "bearer", "authorization"}
@@ -56,13 +62,13 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str, quoted: bool) -> float:
-    """0 to 1: length, mixed characters and entropy; 0 for placeholders, prose and short values."""
+    """0 to 1: length, mixed characters and entropy; 0 for placeholders, plain words, prose and short values."""
     if len(value) < 8 or re.search(r"\s", value) or _PLACEHOLDER.search(value):
         return 0.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", r"\d", r"[^\w\s]"))
-    if entropy < 2.5 or classes < 2 and not quoted:
+    if entropy < 2.5 or classes < 2 and (not quoted or n < 20 and value.isalpha()):
         return 0.0
     return min(1.0, 0.3 * quoted + 0.2 * (classes - 1) + entropy / 8)
 
@@ -95,9 +101,9 @@ def lex(text: str, threshold: float = 1.4) -> list[tuple[int, int, str]]:
             refs = [env[target]] if m.group() == "+=" and target in env else []
             while True:
                 at = _BLANK.match(text, at).end()
-                term = _TOKEN.match(text, at)
-                if term and term.lastgroup == "str":
-                    own.append((term.start() + 1, term.end() - 1, True))
+                term = _STRING.match(text, at)
+                if term:
+                    own.append((*term.span(term.lastgroup), True))
                     at = term.end()
                 else:
                     bare = _BARE.match(text, at)
@@ -107,7 +113,7 @@ def lex(text: str, threshold: float = 1.4) -> list[tuple[int, int, str]]:
                     at = at + max(1, len(word))
                     if word in env:
                         refs.append(env[word])
-                    elif text[at : at + 1] != "(":
+                    elif text[at : at + 1] not in ("(", "[") and not _MEMBER(word):
                         own.append((at - len(word), at, False))
                 plus = _PLUS.match(text, at)
                 if not plus:
@@ -142,7 +148,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def scan(text: str, worth: bool = True, threshold: float = 1.4) -> tuple[list, list]:
     """Base spans, and all spans with the lexed ones; sorted by start, then kind."""
     base = sorted(base_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))
-    extra = [s for s in (lex(text, threshold) if worth else []) if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+    starts, ends = [], []  # of the union of base spans
+    for a, b, _ in base:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    extra = []
+    for s in lex(text, threshold) if worth else []:
+        k = bisect_right(ends, s[0])
+        if k == len(ends) or starts[k] >= s[1]:
+            extra.append(s)
     return base, sorted(base + extra, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
