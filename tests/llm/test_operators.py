@@ -233,6 +233,37 @@ def test_secrets(spark):
     assert secrets.scan_secrets(frame(spark, texts.items())).filter("size(spans) > 0").count() == 5 + (got[8].spans != "")
 
 
+def test_secrets_lexed():
+    lit = lambda t: [t[a:b] for a, b, k in secrets.lex(t)]
+    assert lit("password = os.environ['HOME_OF_ALL']") == [] and lit('x = "harmless"; password = x') == [] and lit("secret = get('Ab3dEf9hIj')") == []
+    for t in ('db_password = f"Zx9#kQ2!mm"', 'db_password = b\'Zx9#kQ2!mm\'', 'db_password = """Zx9#kQ2!mm"""', "k = 'Zx9#kQ2!mm'\napi_key = k"):
+        assert lit(t) == ["Zx9#kQ2!mm"]
+    text = "".join(f'token_{i} = "aB3dE6gH9jK{i:05}"\nn{i}_pwd = "Zx9#kQ2!m{i}"\n' for i in range(3000))
+    base, spans = secrets.scan(text)
+    taken = {i for a, b, _ in base for i in range(a, b)}
+    assert set(spans) == set(base) | {s for s in secrets.lex(text) if taken.isdisjoint(range(s[0], s[1]))} and len(spans) > len(base)
+
+
+def test_token_count_vocabulary(tmp_path):
+    lib = tokenizers.Tokenizer.from_file(registry.vocabulary("byte_bpe_50k.json"))
+    lib.normalizer = tokenizers.normalizers.Lowercase()
+    lib.save(str(tmp_path / "other.json"))
+    with pytest.raises(ValueError):
+        token_count.Counter(str(tmp_path / "other.json"))
+
+
+def test_empty_and_repeated(spark):
+    """Empty tables give no rows, repeated rows one each, very long texts come out whole."""
+    rows = [(1, "password: Zx9kQ2mmAbCdEf12"), (1, "password: Zx9kQ2mmAbCdEf12"), (2, "word " * 60_000), (None, None)]
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight"), (1, "one two three four five six seven eight")], "item_id long, text string")
+    byte, word = registry.vocabulary("byte_bpe_50k.json"), registry.vocabulary("word_bpe_49k.json")
+    for op in (secrets.secret_digests, lambda d: token_count.count_tokens(d, byte), lambda d: bpe.encode_digests(d, word)):
+        got = op(frame(spark, rows)).collect()
+        assert op(frame(spark, [])).count() == 0 and Counter(r.doc_id for r in got) == {1: 2, 2: 1, None: 1}
+    assert decontam.find_leaks(frame(spark, []), bench).count() == 0 and decontam.find_leaks(frame(spark, rows), bench).count() == 0
+    assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string"), [url_filter.host_rule("block", "net", "/")]).count() == 0
+
+
 def test_urls(spark):
     urls = [None, "", "nourl", "http://", "https://A.Example.NET/en/x?q", "http://net", "http://x.net/", "http://xnet/", "ftp://b.org/fr/1", "http://example.com/de/?a#b", "http://example.com/DE/", "http://c/free-bets/1", "http://casino.example.org/", "http://example.net/english", "http://u@h.net:80/"]
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, host string")
