@@ -20,10 +20,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--recursive", action="store_true", help="look for slides in subfolders too")
     p.add_argument("--verbose", action="store_true", help="log at the level INFO")
     p.add_argument("--exports", action=argparse.BooleanOptionalAction, default=True)
+    p.add_argument("--keep-memmap", action=argparse.BooleanOptionalAction, default=None, help="also write the mask as mask.npy")
     a = p.parse_args(argv)
     cfg = Config.from_yaml(a.config) if a.config else Config()
     if a.output_dir:
         cfg.paths.output_dir = a.output_dir
+    if a.keep_memmap is not None:
+        cfg.output.keep_memmap = a.keep_memmap
     if not a.exports:
         cfg.output.write_tiff = cfg.output.write_ome_tiff = cfg.output.write_previews = False
     if a.command == "probe-model":

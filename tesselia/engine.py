@@ -10,13 +10,14 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .config import Config
-from .functions import geometry as g
+from .functions import geometry as g, parsing as ps
 from .operators import planning, scoring, stitching, tissue
-from .session import through_table
-from .sources import files, slides as src
+from .session import ship, through_table
+from .sources import files, formats, slides as src
 
 
 def git_info(folder: str | None = None) -> dict:
@@ -43,25 +44,40 @@ def new_run_id(cfg: Config) -> str:
 
 
 def find_slides(spark: SparkSession, cfg: Config, path: str | None = None, recursive: bool = False) -> DataFrame:
-    """Raster slides of the given path, else of the configured one, else of data/slides; the path is the key. An error without any."""
+    """Slides of the given path, else of the configured one, else of data/slides, with resolution, bounds, background and the level to read.
+
+    The path is the key. An error without any slide, and for a slide whose resolution nothing tells.
+    """
     where = path or cfg.paths.slide_path or "data/slides"
     if not Path(where).exists():
         raise FileNotFoundError(f"no slides at {where}")
-    numbered = src.raster_slides(spark, where, recursive=recursive).withColumn("slide_id", F.col("path"))
-    ox, oy = cfg.slide.mpp_override_x, cfg.slide.mpp_override_y
-    if ox or oy:
-        numbered = numbered.withColumns({"mpp_x": F.lit(float(ox or oy)), "mpp_y": F.lit(float(oy or ox))})
-    return numbered.withColumns({c: F.lit(None).cast("int") for c in ("bnd_x", "bnd_y", "bnd_w", "bnd_h")})
+    found = src.slide_files(spark, where, recursive=recursive).withColumns({"slide_id": F.col("path"), "low": ps.lower_keys(F.col("props"))})
+    prop = lambda k: F.element_at("low", F.lit(k))
+    override = [F.lit(v).cast("double") for v in (cfg.slide.mpp_override_x, cfg.slide.mpp_override_y)]
+    unknown = F.raise_error(F.concat(F.lit("no resolution in "), F.col("path"))).cast("struct<mpp_x: double, mpp_y: double, mpp_source: string>")
+    found = found.withColumns({
+        "mpp": F.coalesce(ps.mpp_with_override(ps.mpp_chain(F.col("low")), *override), unknown),
+        "bnd": ps.bounds(*(prop(f"openslide.bounds-{k}") for k in ("x", "y", "width", "height"))),
+        "background": ps.background(prop("openslide.background-color")),
+        "vendor": ps.vendor(prop("openslide.vendor"), F.col("detected"), F.col("backend")),
+    })
+    level = lambda v: F.struct(*[v[k].alias(k) for k in ("index", "width", "height", "downsample")], (F.col("mpp.mpp_x") * v["downsample"]).alias("mpp_x"), (F.col("mpp.mpp_y") * v["downsample"]).alias("mpp_y"))
+    found = found.withColumn("levels", F.transform("levels", level))
+    bounds = {f"bnd_{k[0]}": F.col(f"bnd.{k}") for k in ("x", "y", "width", "height")}
+    return level_of(found.select("*", "mpp.*").withColumns(bounds), cfg).drop("low", "props", "mpp", "bnd")
 
 
 def plan(slides: DataFrame, cfg: Config) -> DataFrame:
     """All patches, with kept: whether the tissue gate lets them through. The gate comes before any pixel is read for scoring."""
-    grid = planning.plan(slides, cfg)
+    grid = planning.plan(slides.select("slide_id", "width0", "height0", "mpp_x", "mpp_y", "bnd_x", "bnd_y", "bnd_w", "bnd_h"), cfg)
     if not cfg.schedule.use_tissue_mask:
         return grid.withColumn("kept", F.lit(True))
+    return tissue.tissue_gate(grid, tissue_of(slides, cfg), cfg.schedule.tissue_mask_min_fraction)
+
+
+def tissue_of(slides: DataFrame, cfg: Config) -> DataFrame:
     s = cfg.schedule
-    images = tissue.tissue_images(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
-    return tissue.tissue_gate(grid, images, s.tissue_mask_min_fraction)
+    return tissue.tissue_images(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
 
 
 def inspect(spark: SparkSession, cfg: Config, path: str | None = None, recursive: bool = False) -> DataFrame:
@@ -69,19 +85,52 @@ def inspect(spark: SparkSession, cfg: Config, path: str | None = None, recursive
     slides = find_slides(spark, cfg, path, recursive)
     patches = plan(slides, cfg)
     frames = planning.output_frames(slides, cfg.model.target_mpp, cfg.schedule.use_bounds).select(
-        "slide_id", "path", "vendor", "width0", "height0", "mpp_x", "mpp_y", "origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y"
+        "slide_id", "path", "vendor", "backend", "width0", "height0", "mpp_x", "mpp_y", "mpp_source", "level", F.size("levels").alias("n_levels"), "background", "origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y"
     )
     return frames.join(planning.planning_ratios(planning.planning_summary(patches, cfg.schedule.supertile_px, F.col("kept"))), "slide_id")
 
 
-def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024, model_path: str | None = None) -> DataFrame:
+def masks(spark: SparkSession, cfg: Config, slides: DataFrame, chunk: int = 1024, model_path: str | None = None, packed: bool = False) -> DataFrame:
     """Mask chunks of all slides at once: canvas (the slide), cx, cy, w, h, data."""
     m = cfg.model
     tiles = planning.supertiles(plan(slides, cfg).filter("kept"), cfg.schedule.supertile_px, m.patch_px)
-    frames = planning.output_frames(slides, m.target_mpp, cfg.schedule.use_bounds).withColumns({"level_mpp_x": F.col("mpp_x"), "level_mpp_y": F.col("mpp_y")})
-    ready = planning.read_addresses(tiles, frames).withColumn("canvas", F.col("slide_id"))
+    frames = planning.output_frames(slides, m.target_mpp, cfg.schedule.use_bounds).withColumns({"level_mpp_x": F.col("level.mpp_x"), "level_mpp_y": F.col("level.mpp_y")})
+    ready = planning.read_addresses(tiles, frames.withColumn("level", F.col("level.index")).drop("levels")).withColumn("canvas", F.col("slide_id"))
     probs = scoring.score_supertiles(src.read_regions(ready.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slide_id", "kx", "ky")), m.patch_px, m.batch_size, m.apply_sigmoid, model_path)
-    return stitching.paint_chunks(probs, m.patch_px, m.halo_px, cfg.schedule.supertile_px, chunk, m.threshold)
+    return stitching.paint_chunks(probs, m.patch_px, m.halo_px, cfg.schedule.supertile_px, chunk, m.threshold, packed)
+
+
+def exports(slides: DataFrame, chunks: DataFrame, cfg: Config, chunk: int) -> DataFrame:
+    """slide_id, name and data of every file to write. One task a slide assembles its mask from packed chunks and encodes it, on executors.
+
+    ``slides``: as ``inspect`` gives them, with run_id. Slides without chunks get an empty mask.
+    """
+    ship(slides.sparkSession)
+    out = cfg.output
+    wanted = slides.select("slide_id", "run_id", "path", "width0", "height0", "origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y", "background")
+    rows = wanted.join(chunks.withColumnRenamed("canvas", "slide_id"), "slide_id", "left")
+
+    def render(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = pdf.iloc[0]
+        mask = np.zeros((r.out_h, r.out_w), np.uint8)
+        for c in pdf[pdf.data.notna()].itertuples():
+            x, y, w, h = int(c.cx) * chunk, int(c.cy) * chunk, int(c.w), int(c.h)
+            mask[y : y + h, x : x + w] = np.unpackbits(np.frombuffer(c.data, np.uint8), count=w * h).reshape(h, w)
+        mask *= np.uint8(255)
+        mpp, made = (r.ampp_x, r.ampp_y), {}
+        if out.keep_memmap:
+            made["mask.npy"] = files.npy_bytes(mask)
+        if out.write_tiff:
+            made["mask.tiff"] = files.tiff_bytes(mask, mpp, out.tiff_tile_size, {"run_id": r.run_id}, out.bigtiff, out.compression)
+        if out.write_ome_tiff:
+            made["mask.ome.tiff"] = files.ome_tiff_bytes(mask, mpp, out.ome_tile_size, out.ome_pyramid_min_size, out.bigtiff, out.compression)
+        if out.write_previews:
+            base = formats.thumbnail(formats.open_slide(r.path), out.preview_max_size, tuple(r.background[k] for k in "rgb"))
+            small = scoring.place_mask(mask, base.shape[:2], (r.width0, r.height0), (r.origin_x, r.origin_y, r.frame_w, r.frame_h))
+            made |= {"preview_mask.png": files.png_bytes(small), "preview_overlay.png": files.png_bytes(scoring.overlay(base, small))}
+        return pd.DataFrame({"slide_id": [r.slide_id] * len(made), "name": list(made), "data": list(made.values())})
+
+    return rows.groupBy("slide_id").applyInPandas(render, f"slide_id {dict(slides.dtypes)['slide_id']}, name string, data binary")
 
 
 def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: str | None = None, chunk: int = 1024, recursive: bool = False) -> list[dict]:
@@ -100,38 +149,26 @@ def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: s
         log.event("processing_started", supertiles=r["supertiles"])
         opened.append((r, run_id, folder, log))
     planned = time.time()
-    chunks = through_table(masks(spark, cfg, slides, chunk, model_path), "mask-chunks")
-    tissues = None
-    if cfg.output.write_previews and cfg.schedule.use_tissue_mask:
-        s = cfg.schedule
-        images = tissue.tissue_images(src.thumbnails(slides, s.tissue_mask_max_size), s.tissue_mask_saturation_threshold, s.tissue_mask_white_threshold)
-        tissues = through_table(images.select("slide_id", "thumb_w", "thumb_h", "mask"), "tissue-masks")
+    chunks = through_table(masks(spark, cfg, slides, chunk, model_path, packed=True), "mask-chunks")
     processed = time.time()
+    if cfg.output.exports_requested or cfg.output.keep_memmap:
+        ids = spark.createDataFrame([(r["slide_id"], run_id) for r, run_id, _, _ in opened], "slide_id string, run_id string")
+        folders = {r["slide_id"]: folder for r, _, folder, _ in opened}
+        ready = planning.output_frames(slides, cfg.model.target_mpp, cfg.schedule.use_bounds).join(ids, "slide_id")
+        for f in through_table(exports(ready, chunks, cfg, chunk), "exports").toLocalIterator():
+            (folders[f["slide_id"]] / f["name"]).write_bytes(f["data"])
+        if cfg.output.write_previews and cfg.schedule.use_tissue_mask:
+            for t in tissue_of(slides, cfg).select("slide_id", "thumb_w", "thumb_h", "mask").toLocalIterator():
+                shape = next((f["width0"], f["height0"]) for f, _, _, _ in opened if f["slide_id"] == t["slide_id"])
+                image = (np.array(t["mask"], np.uint8) * np.uint8(255)).reshape(t["thumb_h"], t["thumb_w"])
+                scale = min(1.0, cfg.output.preview_max_size / max(shape))
+                w, h = (max(1, round(n * scale)) for n in shape)
+                (folders[t["slide_id"]] / "preview_tissue.png").write_bytes(files.png_bytes(scoring.resize_nearest(image, h, w)))
+    exported = time.time()
     summaries = []
     for r, run_id, folder, log in opened:
         log.event("supertile_progress", done=r["supertiles"], total=r["supertiles"])
-        mpp = (r["ampp_x"], r["ampp_y"])
-        exporting = time.time()
-        if cfg.output.exports_requested:
-            mask = files.assemble(chunks.filter(F.col("canvas") == r["slide_id"]), r["out_w"], r["out_h"], chunk)
-            full = mask * np.uint8(255)
-            if cfg.output.write_tiff:
-                (folder / "mask.tiff").write_bytes(files.tiff_bytes(full, mpp, cfg.output.tiff_tile_size, {"run_id": run_id}))
-            if cfg.output.write_ome_tiff:
-                (folder / "mask.ome.tiff").write_bytes(files.ome_tiff_bytes(full, mpp, cfg.output.ome_tile_size, cfg.output.ome_pyramid_min_size))
-            if cfg.output.write_previews:
-                scale = min(1.0, cfg.output.preview_max_size / max(mask.shape))
-                h, w = (max(1, round(n * scale)) for n in mask.shape)
-                at = lambda n, k: np.minimum(((np.arange(n) + 0.5) * k / n).astype(int), k - 1)
-                small = full[at(h, mask.shape[0])][:, at(w, mask.shape[1])]
-                base = scoring.resize_area(src.read_raster(r["path"]), h, w)
-                (folder / "preview_mask.png").write_bytes(files.png_bytes(small))
-                (folder / "preview_overlay.png").write_bytes(files.png_bytes(scoring.overlay(base, small)))
-                for t in tissues.filter(F.col("slide_id") == r["slide_id"]).collect() if tissues is not None else []:
-                    (folder / "preview_tissue.png").write_bytes(files.png_bytes((np.array(t["mask"], np.uint8) * np.uint8(255)).reshape(t["thumb_h"], t["thumb_w"])))
-            log.event("exports_complete")
-        else:
-            log.event("exports_skipped")
+        log.event("exports_complete" if cfg.output.exports_requested else "exports_skipped")
         ended = time.time()
         wall, loop = ended - began, processed - planned
         row = {
@@ -140,10 +177,11 @@ def run(spark: SparkSession, cfg: Config, path: str | None = None, model_path: s
         }
         some = lambda *names: {k: r[k] for k in names}
         manifest = row | {
-            "slide": some("path", "vendor", "width0", "height0", "mpp_x", "mpp_y"),
+            "slide": some("path", "vendor", "backend", "width0", "height0", "mpp_x", "mpp_y", "mpp_source", "n_levels"),
+            "selection": r["level"].asDict() | {"policy": cfg.model.level_selection_policy, "resize_x": cfg.model.target_mpp / r["level"]["mpp_x"], "resize_y": cfg.model.target_mpp / r["level"]["mpp_y"]},
             "frame": some("origin_x", "origin_y", "frame_w", "frame_h", "out_w", "out_h", "ampp_x", "ampp_y"),
             "planning": some("total_grid", "candidates", "edge_patches", "padded_patches", "supertiles", "candidate_over_grid", "candidates_per_supertile"),
-            "timing": {"wall": round(wall, 6), "components": {"planning": round(planned - began, 6), "processing": round(loop, 6), "exports": round(ended - exporting, 6)}},
+            "timing": {"wall": round(wall, 6), "components": {"planning": round(planned - began, 6), "processing": round(loop, 6), "exports": round(exported - processed, 6)}},
             "throughput": {f"{k}_per_{n}_second": round(r[c] / max(t, 1e-9), 6) for k, c in (("grid", "total_grid"), ("candidate", "candidates")) for n, t in (("wall", wall), ("processing", loop))},
             "mask_to_level0": {"origin": [r["origin_x"], r["origin_y"]], "scale": [r["ampp_x"] / r["mpp_x"], r["ampp_y"] / r["mpp_y"]]},
             "git": git_info(), "config": asdict(cfg),

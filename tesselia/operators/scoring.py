@@ -91,6 +91,22 @@ def overlay(rgb: np.ndarray, mask: np.ndarray, colour: tuple[int, int, int] = (0
     return ((layer[..., :3].astype(np.uint32) * a + rgb.astype(np.uint32) * (255 - a) + 127) // 255).astype(np.uint8)
 
 
+def resize_nearest(a: np.ndarray, h: int, w: int) -> np.ndarray:
+    at = lambda n, k: np.minimum(((np.arange(n) + 0.5) * k / n).astype(int), k - 1)
+    return a[at(h, a.shape[0])][:, at(w, a.shape[1])]
+
+
+def place_mask(mask: np.ndarray, shape: tuple[int, int], full: tuple[int, int], frame: tuple[int, int, int, int]) -> np.ndarray:
+    """A frame's mask on a thumbnail (rows, columns) of the whole slide; ``full`` and ``frame`` are in level-0 pixels."""
+    (th, tw), (fw, fh), (x, y, w, h) = shape, full, frame
+    px, py, pw, ph = round(x * tw / fw), round(y * th / fh), max(1, round(w * tw / fw)), max(1, round(h * th / fh))
+    out = np.zeros((th, tw), np.uint8)
+    a, b, c, d = max(0, px), max(0, py), min(tw, px + pw), min(th, py + ph)
+    if c > a and d > b:
+        out[b:d, a:c] = resize_nearest(mask, ph, pw)[b - py : d - py, a - px : c - px]
+    return out
+
+
 def mean_darkness(batch: np.ndarray) -> np.ndarray:
     """The built-in scorer: darker pixels get higher logits."""
     return ((127.5 - batch.astype(np.float32).mean(3)) / 16)[:, None]

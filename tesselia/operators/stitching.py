@@ -32,8 +32,8 @@ def stitch(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("canvas", "x", "y").agg(F.max_by("value", "order").alias("mask"))
 
 
-def paint_chunks(patches: DataFrame, patch: int, halo: int, supertile: int, chunk: int = 1024, threshold: float = 0.5) -> DataFrame:
-    """Chunks of at most chunk x chunk pixels: canvas, cx, cy, w, h and data; chunks that no patch touches are absent.
+def paint_chunks(patches: DataFrame, patch: int, halo: int, supertile: int, chunk: int = 1024, threshold: float = 0.5, packed: bool = False) -> DataFrame:
+    """Chunks of at most chunk x chunk pixels: canvas, cx, cy, w, h and data (``packed``: eight pixels a byte); chunks that no patch touches are absent.
 
     ``patches`` has probs, a binary of float32. A task paints one chunk from the patches that touch it, whose
     number is bounded by the geometry.
@@ -54,7 +54,7 @@ def paint_chunks(patches: DataFrame, patch: int, halo: int, supertile: int, chun
             bits = (np.frombuffer(r.probs, np.float32).reshape(patch, patch) >= np.float32(threshold)).astype(np.uint8)
             a, b, c, d = max(r.x1, cx * chunk), max(r.y1, cy * chunk), min(r.x2, cx * chunk + w), min(r.y2, cy * chunk + h)
             out[b - cy * chunk : d - cy * chunk, a - cx * chunk : c - cx * chunk] = bits[b - r.out_y : d - r.out_y, a - r.out_x : c - r.out_x]
-        return pd.DataFrame({"canvas": [canvas], "cx": [cx], "cy": [cy], "w": [w], "h": [h], "data": [out.tobytes()]})
+        return pd.DataFrame({"canvas": [canvas], "cx": [cx], "cy": [cy], "w": [w], "h": [h], "data": [(np.packbits(out) if packed else out).tobytes()]})
 
     kind = dict(patches.dtypes)["canvas"]
     columns = ["canvas", "out_w", "out_h", "out_x", "out_y", "kx", "ky", "x1", "y1", "x2", "y2", "cx", "cy", "probs"]

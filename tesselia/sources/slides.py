@@ -1,12 +1,11 @@
-"""Slide discovery, and a data source for raster slides (PPM and NPY files).
+"""Slide discovery, a data source for slide metadata, and reads of their pixels.
 
-``raster_slides`` lists and reads metadata with one partition a slide; ``read_regions`` reads the pixels of planned
-supertiles where they are needed, one supertile a row.
+``slide_files`` lists slides and reads metadata with one partition a slide; ``read_regions`` reads the pixels of planned
+supertiles where they are needed, one supertile a row. Executors open slides by path, so slides lie on a mount that all share.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -18,6 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..functions.parsing import SUFFIXES, has_suffix
 from ..operators.scoring import resize_area
 from ..session import ship
+from .formats import RASTERS, downsamples, open_slide, region, thumbnail
 
 
 def discover(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SUFFIXES, pattern: str | None = None, recursive: bool = False) -> DataFrame:
@@ -27,28 +27,16 @@ def discover(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SUFFIXE
     return (files if pattern else files.filter(has_suffix(F.col("path"), suffixes))).orderBy("path")
 
 
-def read_raster(path: str) -> np.ndarray:
-    """RGB rows of a binary PPM or an NPY file."""
-    data = Path(path).read_bytes()
-    if data[:2] == b"P6":
-        m = re.match(rb"P6\s+(?:#[^\n]*\s+)*(\d+)\s+(\d+)\s+255\s", data)
-        w, h = int(m[1]), int(m[2])
-        return np.frombuffer(data, np.uint8, w * h * 3, m.end()).reshape(h, w, 3)
-    import io
-
-    return np.load(io.BytesIO(data), allow_pickle=False)
-
-
 class _OneSlide(InputPartition):
     pass
 
 
-class _RasterReader(DataSourceReader):
+class _SlideReader(DataSourceReader):
     def __init__(self, options):
         self.mpp = float(options.get("mpp", "0.5"))
         top = Path(options["path"])
         every = top.rglob("*") if options.get("recursive", "false") == "true" else top.glob("*")
-        found = [top] if top.is_file() else sorted(p for p in every if p.suffix.lower() in (".ppm", ".npy"))
+        found = [top] if top.is_file() else sorted(p for p in every if p.suffix.lower() in SUFFIXES + RASTERS)
         if not found:
             raise FileNotFoundError(f"no slides at {top}")
         self.paths = [str(p) for p in found]
@@ -57,47 +45,52 @@ class _RasterReader(DataSourceReader):
         return [_OneSlide(p) for p in self.paths]
 
     def read(self, partition) -> Iterator[tuple]:
-        image = read_raster(partition.value)
-        yield partition.value, image.shape[1], image.shape[0], self.mpp, self.mpp, "raster"
+        slide = open_slide(partition.value, self.mpp)
+        levels = [(k, w, h, s) for k, ((w, h), s) in enumerate(zip(slide.sizes, downsamples(slide.sizes)))]
+        yield partition.value, slide.backend, slide.detected, slide.props, *slide.sizes[0], levels
 
 
-class RasterSlides(DataSource):
-    """``spark.read.format("raster_slides").option("path", folder)``: one row of metadata a slide."""
+class SlideFiles(DataSource):
+    """``spark.read.format("slide_files").option("path", folder)``: one row of metadata a slide."""
 
     @classmethod
     def name(cls) -> str:
-        return "raster_slides"
+        return "slide_files"
 
     def schema(self) -> str:
-        return "path string, width0 int, height0 int, mpp_x double, mpp_y double, vendor string"
+        return "path string, backend string, detected string, props map<string, string>, width0 int, height0 int, levels array<struct<index: int, width: int, height: int, downsample: double>>"
 
     def reader(self, schema) -> DataSourceReader:
-        return _RasterReader(self.options)
+        return _SlideReader(self.options)
 
 
-def raster_slides(spark: SparkSession, path: str, mpp: float = 0.5, recursive: bool = False) -> DataFrame:
+def slide_files(spark: SparkSession, path: str, mpp: float = 0.5, recursive: bool = False) -> DataFrame:
+    """Metadata of the slides of a path; ``mpp`` is that of plain rasters, which state none."""
     ship(spark)
-    spark.dataSource.register(RasterSlides)
-    return spark.read.format("raster_slides").option("mpp", str(mpp)).option("recursive", str(recursive).lower()).load(path)
+    spark.dataSource.register(SlideFiles)
+    return spark.read.format("slide_files").option("mpp", str(mpp)).option("recursive", str(recursive).lower()).load(path)
+
+
+def _colour(value) -> tuple[int, int, int]:
+    return (value["r"], value["g"], value["b"])
 
 
 def read_regions(tiles: DataFrame, path_col: str = "path") -> DataFrame:
-    """Adds the image of each supertile, resized to tile_w x tile_h; what lies outside of the slide is white.
+    """Adds the image of each supertile, resized to tile_w x tile_h; what lies outside of the slide has its background.
 
-    ``tiles`` has read_x, read_y, read_w, read_h (level 0 here), tile_w, tile_h. The last slide read is kept for the next row.
+    ``tiles`` has level, read_x, read_y (level 0), read_w, read_h (that level), tile_w, tile_h and background. Only the parts of a file
+    that a supertile touches are decoded. The last slide stays open for the next row.
     """
     ship(tiles.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, image = None, None
+        held, slide = None, None
         for pdf in frames:
             out = []
             for r in pdf.to_dict("records"):
                 if r[path_col] != held:
-                    held, image = r[path_col], read_raster(r[path_col])
-                part = np.full((r["read_h"], r["read_w"], 3), 255, np.uint8)
-                got = image[r["read_y"] : r["read_y"] + r["read_h"], r["read_x"] : r["read_x"] + r["read_w"]]
-                part[: got.shape[0], : got.shape[1]] = got
+                    held, slide = r[path_col], open_slide(r[path_col])
+                part = region(slide, r["level"], r["read_x"], r["read_y"], r["read_w"], r["read_h"], _colour(r["background"]))
                 out.append(resize_area(part, r["tile_h"], r["tile_w"]).tobytes())
             yield pdf.assign(image=out)
 
@@ -106,16 +99,14 @@ def read_regions(tiles: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def thumbnails(slides: DataFrame, most: int = 1536, path_col: str = "path") -> DataFrame:
-    """Thumbnails within most x most pixels: slide_id, thumb_w, thumb_h and rgb, the pixels as bytes."""
+    """Thumbnails within most x most pixels: slide_id, thumb_w, thumb_h and rgb, the pixels as bytes. ``slides`` has background."""
     ship(slides.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for r in pdf.to_dict("records"):
-                image = read_raster(r[path_col])
-                s = min(1.0, most / max(image.shape[:2]))
-                small = resize_area(image, max(1, round(image.shape[0] * s)), max(1, round(image.shape[1] * s)))
+                small = thumbnail(open_slide(r[path_col]), most, _colour(r["background"]))
                 yield pd.DataFrame({"slide_id": [r["slide_id"]], "thumb_w": [small.shape[1]], "thumb_h": [small.shape[0]], "rgb": [np.ascontiguousarray(small, np.uint8).tobytes()]})
 
     kind = dict(slides.dtypes)["slide_id"]
-    return slides.select("slide_id", path_col).mapInPandas(run, f"slide_id {kind}, thumb_w int, thumb_h int, rgb binary")
+    return slides.select("slide_id", path_col, "background").mapInPandas(run, f"slide_id {kind}, thumb_w int, thumb_h int, rgb binary")
