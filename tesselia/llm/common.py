@@ -89,6 +89,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
+_LONG = 256
 
 
 def _powers(kind: str, n: int) -> np.ndarray:
@@ -106,12 +107,18 @@ def _powers(kind: str, n: int) -> np.ndarray:
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of raw[start:end] for each span: polynomial prefix sums modulo 2**64, with length mixed in."""
+    """64-bit hashes of raw[start:end] for each span: polynomial prefix sums modulo 2**64, with length mixed in.
+
+    Such sums have collisions of long strings whatever the base is, so spans over ``_LONG`` bytes are hashed by BLAKE2.
+    """
     n = len(raw)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers("up", n)[:n], out=prefix[1:])
     h = (prefix[ends] - prefix[starts]) * _powers("down", n + 1)[starts]
-    return mix64(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    h = mix64(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    for i in np.flatnonzero(ends - starts > _LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def ascii_lower(raw: np.ndarray) -> np.ndarray:
