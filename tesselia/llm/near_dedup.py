@@ -17,8 +17,9 @@ drops candidates that are far from similar. Candidates are confirmed on full set
 smallest candidate; then every candidate whose ends aren't connected yet. So no candidate between different components is
 left untested, and a group of near copies costs about one test a document.
 
-Null and empty texts have no shingles and stand alone. Texts with fewer words than a shingle are one shingle. Rows that
-share a ``doc_id`` are one node. A tree brings a pair of similarity s to one region with probability s**3; with 16 trees a pair at 0.8
+Null and empty texts have no shingles and stand alone, as do rows whose ``doc_id`` is null: they stay, with a null component.
+Texts with fewer words than a shingle are one shingle. Rows that share a ``doc_id`` are one node (``drop_near_copies`` has a node a row).
+An empty table gives no rows; columns other than ``doc_id`` and ``text`` may have any names; long texts count whole. A tree brings a pair of similarity s to one region with probability s**3; with 16 trees a pair at 0.8
 is in none with probability 1e-5. A pair in one region is compared in it, or both rows are dense. The sketch drops a pair at 0.8 of a
 small region with probability 1e-5, and none of the exact join. Regions at a partition's border count as dense.
 """
@@ -380,10 +381,11 @@ def linked(found: DataFrame, docs: DataFrame, words: int, percent: int, labels:
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 16, least: int = 3, leaf: int = 24, close: float = 0.6) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept."""
     sigs = through_table(signature_table(docs, words, trees), "near-sigs")
-    rows = sigs.select("doc_id", "n_shingles", "ident")
+    every = sigs.select("doc_id", "n_shingles", "ident")
+    rows, docs = every.filter("doc_id is not null"), texts(docs).filter("doc_id is not null")
     classes = narrow_table(rows.filter("n_shingles > 0").groupBy("ident").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "near-classes")
     others = narrow_table(rows.filter("n_shingles > 0").join(classes.filter("size > 1").select("ident", "node"), "ident").filter("doc_id <> node").select("doc_id", "ident").distinct(), "near-copies")
-    own = filter_by(sigs.filter("n_shingles > 0"), others, ["doc_id", "ident"], "left_anti")
+    own = filter_by(sigs.filter("n_shingles > 0 and doc_id is not null"), others, ["doc_id", "ident"], "left_anti")
     met = through_table(candidates(own, trees, least, leaf, close), "near-candidates")
     labels = linked(met.filter("a < b"), docs, words, percent)
     # An id with several texts is one node: it joins the classes of all of them.
@@ -403,10 +405,24 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, trees: int =
             labels = linked(exact, docs, words, percent, labels)
     named = rows.join(classes.select("ident", "node"), "ident", "left").join(labels, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    named = named.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return named.union(every.filter("doc_id is null").select("doc_id", "n_shingles", "doc_id", F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group."""
+    """The rows of ``docs`` that stay: of each group the one with the smallest id, null being the largest.
+
+    Where an id is null or stands on several rows, rows get numbers of their own first, so that each is judged by its own text.
+    """
+    ids = texts(docs).select("doc_id")
+    if ids.groupBy("doc_id").count().filter("count > 1 or doc_id is null").take(1):
+        names = [f"_{i}" for i in range(len(docs.columns))]
+        own = through_table(docs.toDF(*names).select("*", F.monotonically_increasing_id().alias("row")), "near-rows")
+        at_id, at_text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+        groups = near_groups(own.select(F.col("row").alias("doc_id"), at_text.alias("text")), words, percent)
+        label = through_table(groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("label")), "near-rows-labels")
+        order = F.struct(at_id.isNull(), at_id.cast("long"), F.col("row"))
+        stay = own.select("row", order.alias("order")).join(label, "row").groupBy("label").agg(F.min("order")["row"].alias("row"))
+        return own.join(stay.select("row"), "row", "left_semi").select(*names).toDF(*docs.columns)
     gone = narrow_table(near_groups(docs, words, percent).filter("not kept").select("doc_id").distinct(), "near-gone")
     return filter_by(docs, gone, ["doc_id"], "left_anti")
