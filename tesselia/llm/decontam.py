@@ -11,15 +11,19 @@ is, so each text's runs of words are looked up among those parts. Letters of scr
 For longer items windows start at anchor words: of each item its ``anchors`` rarest words, by their counts in the benchmark. Text windows that
 start at any other word are skipped after one lookup. Every candidate (text place, item place) is verified: the
 edit distance in words between the whole item and the best-matching stretch of the text around the place must be at
-most ``max_edit`` of the item's words.
+most ``max_edit`` of the item's words. That runs on hashes of words; what passes is confirmed on the words themselves, byte by
+byte, over the whole text, which gives the smallest number of edits.
 
 The index is as large as the benchmark and sent to executors in blocks of ``block`` items, one pass each; texts are
-never shuffled. Null and empty texts and items match nothing. Items with fewer than ``min_words`` words match without edits only. Of
+never shuffled, long ones are searched whole. Null and empty texts and items match nothing; empty tables give no matches; columns
+other than the id and the text may have any names. Items with fewer than ``min_words`` words match without edits only. Of
 repeated items each is reported.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,16 +38,28 @@ _UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanma
 _PAD = np.uint64(0)
 
 
-def word_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a small batch and, for each row, the index of its first (n + 1 entries)."""
+class Words(NamedTuple):
+    """The words of a small batch: their hashes, for each row the index of its first (n + 1 entries), and their places in ``raw``."""
+
+    h: np.ndarray
+    first: np.ndarray
+    raw: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.start[i] : self.end[i]].tobytes()
+
+
+def read_words(batch: pa.RecordBatch) -> Words:
     lower = pc.utf8_lower(batch.column("text"))
     raw, offsets = utf8_buffers(lower)
     if (raw >= 0xE0).any():
         raw, offsets = utf8_buffers(pc.replace_substring_regex(lower, _UNSPACED, r" \1 "))
     s, e, doc = token_spans(raw, offsets)
     some = _CLASS[raw[s]] == 1
-    h = span_hashes(raw, s[some], e[some]) | np.uint64(1)
-    return h, np.searchsorted(doc[some], np.arange(batch.num_rows + 1))
+    s, e = s[some], e[some]
+    return Words(span_hashes(raw, s, e) | np.uint64(1), np.searchsorted(doc[some], np.arange(batch.num_rows + 1)), raw, s, e)
 
 
 def edit_distance_within(item: np.ndarray, text: np.ndarray) -> int:
@@ -58,6 +74,16 @@ def edit_distance_within(item: np.ndarray, text: np.ndarray) -> int:
     return int(row.min())
 
 
+def exact_edits(item: list[bytes], hashes: np.ndarray, words: Words, row: int) -> int:
+    """Smallest edit distance between the item and any stretch of the row's text, by the words' bytes."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(item), 1)}
+    a, b = words.first[row], words.first[row + 1]
+    text = np.zeros(b - a, np.int64)
+    for i in np.flatnonzero(np.isin(words.h[a:b], hashes)).tolist():
+        text[i] = number.get(words.word(a + i), 0)
+    return edit_distance_within(np.array([number[w] for w in item]), text)
+
+
 class Embedding:
     """``repeats`` random walks and the positions that are sampled of each, per window size."""
 
@@ -140,7 +166,9 @@ class ShortItems:
 
 
 class BenchmarkIndex:
-    def __init__(self, items: list[tuple[int, np.ndarray]], anchors: int, repeats: int, samples: int, max_edit: float, min_words: int):
+    def __init__(self, items: list[tuple[int, np.ndarray, list[bytes]]], anchors: int, repeats: int, samples: int, max_edit: float, min_words: int):
+        self.words = [w for _, _, w in items]
+        items = [(i, h) for i, h, _ in items]
         short = [n for n, (_, words) in enumerate(items) if len(words) < max(SHORT, min_words)]
         self.short = ShortItems(items, short, {n: int(max_edit * len(items[n][1])) if len(items[n][1]) >= min_words else 0 for n in short})
         self.items, self.max_edit = items, max_edit
@@ -177,8 +205,20 @@ class BenchmarkIndex:
                 order = np.argsort(key[some], kind="stable")
                 self.table[r, L] = key[some][order], starts[some][order]
 
-    def search(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
+    def search(self, words: Words) -> dict[tuple[int, int], int]:
         """{(row, item number): edits} of the rows' matches."""
+        found = {}
+        for k, n in self.near(words.h, words.first):
+            edits = exact_edits(self.words[n], self.items[n][1], words, k)
+            if edits <= self.most(n):
+                found[k, n] = edits
+        return found
+
+    def most(self, n: int) -> int:
+        return self.short.most[n] if n in self.short.most else int(self.max_edit * len(self.items[n][1]))
+
+    def near(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
+        """{(row, item number): edits} of the rows' matches as hashes tell."""
         hot = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
         hot = hot[np.isin(h[hot], self.anchor_words)]
         found = self.short.search(h, first)
@@ -200,8 +240,7 @@ class BenchmarkIndex:
         item = self.item_of[pairs[:, 1]]
         where = hot[pairs[:, 0]] - self.offset[pairs[:, 1]]
         for k, n, at in np.unique(np.stack([row[pairs[:, 0]], item, where], 1), axis=0).tolist():
-            words = self.items[n][1]
-            most = int(self.max_edit * len(words))
+            words, most = self.items[n][1], self.most(n)
             if found.get((k, n), most + 1) == 0:
                 continue
             a, b = max(first[k], at - 2 * most), min(first[k + 1], at + len(words) + 2 * most)
@@ -211,14 +250,14 @@ class BenchmarkIndex:
         return found
 
 
-def item_words(benchmark: DataFrame) -> list[tuple[int, np.ndarray]]:
-    """The benchmark, which is small and fixed, as (item_id, word hashes) on the driver, in the order of ids."""
+def item_words(benchmark: DataFrame) -> list[tuple[int, np.ndarray, list[bytes]]]:
+    """The benchmark, which is small and fixed, as (item_id, word hashes, words) on the driver, in the order of ids."""
     rows = texts(benchmark, "item_id").orderBy("doc_id", "text").collect()
     if not rows:
         return []
-    h, first = word_hashes(pa.RecordBatch.from_pydict({"text": pa.array([r["text"] for r in rows], pa.string())}))
-    items = [(r["doc_id"], h[first[i] : first[i + 1]]) for i, r in enumerate(rows)]
-    return [x for x in items if len(x[1])]
+    words = read_words(pa.RecordBatch.from_pydict({"text": pa.array([r["text"] for r in rows], pa.string())}))
+    ranges = [range(words.first[i], words.first[i + 1]) for i in range(len(rows))]
+    return [(r["doc_id"], words.h[at.start : at.stop], [words.word(i) for i in at]) for r, at in zip(rows, ranges) if len(at)]
 
 
 def _indexes(spark, benchmark: DataFrame, anchors, repeats, samples, max_edit, min_words, block):
@@ -240,7 +279,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anc
                 rows = []
                 for part in slices(batch):
                     ids = part.column("doc_id")
-                    for (k, n), edits in index.search(*word_hashes(part)).items():
+                    for (k, n), edits in index.search(read_words(part)).items():
                         rows.append((ids[k].as_py(), index.items[n][0], edits, len(index.items[n][1])))
                 return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["doc_id", "item_id", "n_edits", "n_words"])
 
@@ -267,7 +306,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, anc
                 at = 0
                 only = pa.RecordBatch.from_arrays([batch.column(at_text).cast(pa.string()).fill_null("")], ["text"])
                 for part in slices(only):
-                    for k, _ in index.search(*word_hashes(part)):
+                    for k, _ in index.search(read_words(part)):
                         clean[at + k] = False
                     at += part.num_rows
                 return batch.filter(pa.array(clean))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tesselia.llm import bpe, decontam, exact_dedup, linear, near_dedup, quality, registry, secrets, suffix_dedup, token_count, toxicity, url_filter
+from tesselia.llm import bpe, common, decontam, exact_dedup, linear, near_dedup, quality, registry, secrets, suffix_dedup, token_count, toxicity, url_filter
 from tesselia.llm.graph import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, TEXT string, kept int, `doc id` string"
@@ -90,6 +90,26 @@ def test_near_dedup_repeated_id(spark):
     assert got == Counter([(1, 1), (5, 1), (5, 1), (9, 1), (20, 20)])
 
 
+def test_near_dedup_null_ids(spark):
+    rnd = random.Random(13)
+    one, two = sentence(rnd, 60), sentence(rnd, 60)
+    got = Counter(map(tuple, near_dedup.near_groups(frame(spark, [(None, one), (None, one), (3, one), (7, one + " end"), (None, None)]), 5, 80).collect()))
+    assert got == Counter({(None, 56, None, True): 2, (3, 56, 3, True): 1, (7, 57, 3, False): 1, (None, 0, None, True): 1})
+    rows = [(1, one), (2, one + " end"), (2, two), (9, two + " end"), (None, two), (None, ""), (4, None), (4, None)]
+    left = near_dedup.drop_near_copies(frame(spark, rows), 5, 80)
+    assert left.columns == frame(spark, []).columns
+    assert Counter((r.doc_id, r[1]) for r in left.collect()) == Counter({(1, one): 1, (2, two): 1, (None, ""): 1, (4, None): 2})
+
+
+def test_long_spans():
+    """Strings that a polynomial modulo 2**64 cannot tell apart, whatever its base."""
+    a, b = b"a", b"b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    h = common.span_hashes(np.frombuffer(a + b, np.uint8), np.array([0, len(a)]), np.array([len(a), 2 * len(a)]))
+    assert h[0] != h[1]
+
+
 def test_near_dedup_fitting():
     rnd = np.random.RandomState(3)
     for large in (2, 64):
@@ -125,6 +145,30 @@ def test_exact_dedup(spark, corpus, tmp_path):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 
 
+def test_exact_dedup_null_ids(spark):
+    rows = [(None, "x"), (None, "y"), (None, "y"), (5, "x"), (6, None)]
+    got = exact_dedup.exact_groups(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == Counter([(None, 5, 2), (None, None, 2), (None, None, 2), (5, 5, 2), (6, 6, 1)])
+    assert Counter((r.doc_id, r[1]) for r in exact_dedup.drop_copies(frame(spark, rows)).collect()) == Counter([(None, "y"), (5, "x"), (6, None)])
+
+
+def test_exact_dedup_goes_on(spark, tmp_path):
+    """Files that come later meet the state of earlier calls; nothing is counted twice."""
+    path, state = str(tmp_path / "docs"), str(tmp_path / "state")
+    rows = []
+    for new in ([(1, "a"), (2, "b"), (3, None)], [(4, "a"), (0, "b"), (9, "c")], [], [(12, "a"), (13, "")]):
+        rows += new
+        if new:
+            spark.createDataFrame(new, "doc_id long, text string").write.mode("append").parquet(path)
+        groups = {}
+        for i, t in rows:
+            groups.setdefault(t or "", []).append(i)
+        got = exact_dedup.exact_groups(spark.read.parquet(path), state=state).collect()
+        assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == sorted((i, max(v), len(v), i == max(v)) for v in groups.values() for i in v)
+    with pytest.raises(ValueError):
+        exact_dedup.exact_groups(frame(spark, [(1, "a")]), state=state)
+
+
 def repeats(rows, size=50):
     """(id, n_bytes, n_removed, n_spans, digest) of each row, by brute force."""
     first, out = {}, Counter()
@@ -324,6 +368,19 @@ def test_decontaminate_short_items(spark):
     assert all(len(words[i]) >= 6 for _, i in extra) and len(extra) <= 5
 
 
+def test_decontaminate_words(monkeypatch):
+    """What agrees in hashes only is no match."""
+    monkeypatch.setattr(decontam, "span_hashes", lambda raw, s, e: raw[s].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    rnd = random.Random(2)
+    for n in (3, 9, 30):
+        item = [rnd.choice(WORDS) for _ in range(n)]
+        words = lambda *t: decontam.read_words(pa.RecordBatch.from_pydict({"text": list(t)}))
+        own = words(" ".join(item))
+        index = decontam.BenchmarkIndex([(7, own.h, [own.word(i) for i in range(n)])], 6, 6, 5, 0.2, 6)
+        near = words("so it is " + " ".join(item), " ".join(w[0] + "other" for w in item))
+        assert set(index.near(near.h, near.first)) == {(0, 0), (1, 0)} and index.search(near) == {(0, 0): 0}
+
+
 def test_toxicity_swaps(spark):
     rnd = random.Random(6)
     rows, labels = [], []
