@@ -83,8 +83,11 @@ def batch_stats(tiles: DataFrame, batch: int = 8) -> DataFrame:
 
 
 def read_addresses(tiles: DataFrame, frames: DataFrame) -> DataFrame:
-    """Level-0 place and level-k size of each supertile's read. ``frames`` has level_mpp_x/y of the chosen level."""
-    j = tiles.join(frames, "slide_id")
+    """Level-0 place and level-k size of each supertile's read. ``frames`` has level_mpp_x/y of the chosen level.
+
+    Frames are as many as slides, so they are never broadcast.
+    """
+    j = tiles.join(frames.hint("merge"), "slide_id")
     place = lambda o, c, a, m: (F.col(o) + F.rint(F.col(c) * F.col(a) / F.col(m))).cast("int")
     size = lambda c, a, m: F.greatest(F.lit(1), F.rint(F.col(c) * F.col(a) / F.col(m)).cast("int"))
     return j.withColumns({

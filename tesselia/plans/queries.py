@@ -83,7 +83,7 @@ def _level(policy: str, s, sf):
 
 def q_read_addresses(s, sf):
     lv = v.levels(s, sf).withColumn("l", g.choose_level(F.col("levels"), v.TARGET, "prefer_higher_bounded", 2.0)).select("slide_id", F.col("l.mpp_x").alias("level_mpp_x"), F.col("l.mpp_y").alias("level_mpp_y"))
-    both = frames(s, sf).join(lv, "slide_id")
+    both = frames(s, sf).join(lv.hint("merge"), "slide_id")
     return pl.read_addresses(tiles(s, sf), both).select("slide_id", "kx", "ky", "read_x", "read_y", "read_w", "read_h")
 
 
