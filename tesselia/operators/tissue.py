@@ -112,9 +112,16 @@ def cells(images: DataFrame, column: str, name: str) -> DataFrame:
     return e.select("slide_id", (F.col("at") % F.col("thumb_w")).alias("tx"), F.expr("cast(at div thumb_w as int)").alias("ty"), F.col("v").cast("int").alias(name))
 
 
-def with_fraction(patches: DataFrame, images: DataFrame) -> DataFrame:
-    """Adds the tissue fraction of each patch's level-0 rectangle by four lookups; 0 for an empty rectangle or no thumbnail."""
-    j = patches.join(images.select("slide_id", "thumb_w", "thumb_h", "sums"), "slide_id", "left")
+def with_sums(slides: DataFrame, images: DataFrame) -> DataFrame:
+    """Adds thumb_w, thumb_h and sums to rows of slides, or of their frames before patches are made of them.
+
+    A thumbnail's arrays are far wider than estimates from file sizes tell, so no side is broadcast.
+    """
+    return slides.join(images.select("slide_id", "thumb_w", "thumb_h", "sums").hint("merge"), "slide_id", "left")
+
+
+def fraction(j: DataFrame) -> DataFrame:
+    """Adds the tissue fraction of the level-0 rectangle of each patch ``with_sums`` by four lookups; 0 for an empty rectangle or no thumbnail."""
     w, h = F.col("thumb_w"), F.col("thumb_h")
     clip = lambda v, top: F.least(F.greatest(v, F.lit(0)), top).cast("int")
     j = j.withColumns({
@@ -128,6 +135,11 @@ def with_fraction(patches: DataFrame, images: DataFrame) -> DataFrame:
     return j.withColumn("fraction", F.when(empty, 0.0).otherwise(F.coalesce(F.try_divide(inside.cast("double"), area), F.lit(0.0))))
 
 
-def tissue_gate(patches: DataFrame, images: DataFrame, least: float = 0.03) -> DataFrame:
-    """Adds kept: whether enough of the patch is tissue."""
-    return with_fraction(patches, images).withColumn("kept", F.col("fraction") >= least).drop("sums")
+def with_fraction(patches: DataFrame, images: DataFrame) -> DataFrame:
+    """``fraction`` of patches that have no sums yet. Joining frames ``with_sums`` first moves a row a slide, not one a patch."""
+    return fraction(with_sums(patches, images))
+
+
+def tissue_gate(patches: DataFrame, images: DataFrame | None = None, least: float = 0.03) -> DataFrame:
+    """Adds kept: whether enough of the patch is tissue. Without ``images`` the patches have their sums."""
+    return (fraction(patches) if images is None else with_fraction(patches, images)).withColumn("kept", F.col("fraction") >= least).drop("sums")

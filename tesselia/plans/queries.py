@@ -18,8 +18,13 @@ def frames(s: SparkSession, sf: str) -> DataFrame:
     return pl.output_frames(v.slides(s, sf), v.TARGET)
 
 
-def planned(s: SparkSession, sf: str) -> DataFrame:
-    return pl.flags(pl.in_roi(pl.crops(pl.patch_grid(frames(s, sf), v.PATCH, v.STRIDE), v.PATCH, v.HALO)), v.PATCH)
+def planned(s: SparkSession, sf: str, of: DataFrame | None = None) -> DataFrame:
+    return pl.flags(pl.in_roi(pl.crops(pl.patch_grid(frames(s, sf) if of is None else of, v.PATCH, v.STRIDE), v.PATCH, v.HALO)), v.PATCH)
+
+
+def planned_sums(s: SparkSession, sf: str) -> DataFrame:
+    """``planned`` with each slide's integral image, which joins the frames before there are patches."""
+    return planned(s, sf, ts.with_sums(frames(s, sf), ts.tissue_images(v.thumb_images(s, sf))))
 
 
 def tiles(s: SparkSession, sf: str) -> DataFrame:
@@ -176,7 +181,7 @@ def q_integral(s, sf):
 
 
 def q_tissue_fraction(s, sf):
-    return ts.with_fraction(planned(s, sf), ts.tissue_images(v.thumb_images(s, sf))).select("slide_id", "out_x", "out_y", F.round("fraction", 6).alias("fraction"))
+    return ts.fraction(planned_sums(s, sf)).select("slide_id", "out_x", "out_y", F.round("fraction", 6).alias("fraction"))
 
 
 def q_gated_plan(s, sf):

@@ -19,3 +19,7 @@ def no_broadcast(spark, name):
 
 def test_read_addresses(spark):
     no_broadcast(spark, "q_read_addresses")
+
+
+def test_tissue_fraction(spark):
+    no_broadcast(spark, "q_tissue_fraction")
