@@ -185,7 +185,7 @@ def q_tissue_fraction(s, sf):
 
 
 def q_gated_plan(s, sf):
-    return pl.planning_summary(ts.tissue_gate(planned(s, sf), ts.tissue_images(v.thumb_images(s, sf)), 0.2), v.TILE, F.col("kept"))
+    return pl.planning_summary(ts.tissue_gate(planned_sums(s, sf), least=0.2), v.TILE, F.col("kept"))
 
 
 def _pixels(s, sf):

@@ -23,3 +23,7 @@ def test_read_addresses(spark):
 
 def test_tissue_fraction(spark):
     no_broadcast(spark, "q_tissue_fraction")
+
+
+def test_gated_plan(spark):
+    no_broadcast(spark, "q_gated_plan")
