@@ -5,14 +5,15 @@ the word at hand and moves on or not, by a random bit of that word and step. Win
 strings at a small Hamming distance, whatever their words. Windows of 8, 16 and 32 words are hashed by ``samples`` random
 positions of the walk, in ``repeats`` independent walks, so that some repetition agrees with the wanted recall.
 
-Items of fewer than ``SHORT`` words are found exactly instead: with at most k edits one of k + 1 parts of an item stands in the text as it
-is, so each text's runs of words are looked up among those parts. Letters of scripts without spaces are a word each.
+Walks start at anchor words: of each item of ``SHORT`` words or more its ``anchors`` rarest words, by their counts in the benchmark.
 
-For longer items windows start at anchor words: of each item its ``anchors`` rarest words, by their counts in the benchmark. Text windows that
-start at any other word are skipped after one lookup. Every candidate (text place, item place) is verified: the
-edit distance in words between the whole item and the best-matching stretch of the text around the place must be at
-most ``max_edit`` of the item's words. That runs on hashes of words; what passes is confirmed on the words themselves, byte by
-byte, over the whole text, which gives the smallest number of edits.
+What walks do not meet (they are random, and an edited text may hold no anchor) is found exactly: with at most k edits one of k + 1 parts
+of an item stands in the text as it is, so the runs of words at every place of every text are looked up among the parts of all
+items. So every match counts, whichever words were edited. Letters of scripts without spaces are a word each.
+
+Every candidate (text place, item place) is verified: the edit distance in words between the whole item and the best-matching
+stretch of the text around the place must be at most ``max_edit`` of the item's words. That runs on hashes of words; what passes is
+confirmed on the words themselves, byte by byte, over the whole text, which gives the smallest number of edits.
 
 The index is as large as the benchmark and sent to executors in blocks of ``block`` items, one pass each; texts are
 never shuffled, long ones are searched whole. Null and empty texts and items match nothing; empty tables give no matches; columns
@@ -116,14 +117,13 @@ def run_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-class ShortItems:
+class Parts:
     """Items by their parts: one more than the edits that an item allows, so that one part is whole in every match."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], numbers: list[int], most: dict[int, int]):
+    def __init__(self, items: list[tuple[int, np.ndarray]], most: list[int]):
         self.items, self.most = items, most
         parts: dict[int, list[tuple[int, int, int]]] = {}
-        for n in numbers:
-            words = items[n][1]
+        for n, (_, words) in enumerate(items):
             cut = np.linspace(0, len(words), most[n] + 2).astype(int).tolist()
             for a, b in zip(cut, cut[1:]):
                 parts.setdefault(b - a, []).append((int(run_hashes(words[a:b], b - a)[0]), n, a))
@@ -133,8 +133,8 @@ class ShortItems:
             order = np.argsort(key, kind="stable")
             self.tables[size] = key[order], np.array([r[1:] for r in rows], np.int64)[order]
 
-    def search(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
-        """{(row, item number): edits} of the rows' matches."""
+    def search(self, h: np.ndarray, first: np.ndarray, found: dict[tuple[int, int], int], block: int = 1 << 20) -> None:
+        """Adds {(row, item number): edits} of the rows' matches that are not in ``found``; about ``block`` words are compared at once."""
         hits = []
         for size, (keys, places) in self.tables.items():
             key = run_hashes(h, size)
@@ -145,33 +145,43 @@ class ShortItems:
             some, row, lo = some[inside], row[inside], lo[some[inside]]
             n = np.searchsorted(keys, key[some], side="right") - lo
             at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            hits.append(np.stack([np.repeat(row, n), places[at, 0], np.repeat(some, n) - places[at, 1]], 1))
-        found: dict[tuple[int, int], int] = {}
+            hits.append(np.stack([places[at, 0], np.repeat(row, n), np.repeat(some, n) - places[at, 1]], 1))
         hits = np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 3), np.int64)
-        for n in np.unique(hits[:, 1]).tolist():
-            words, most = self.items[n][1], self.most[n]
-            own = hits[hits[:, 1] == n]
-            # A match holds all but ``most`` of the item's words.
-            at = own[:, 2, None] + np.arange(-most, len(words) + most)
-            fit = (at >= first[own[:, 0], None]) & (at < first[own[:, 0] + 1, None])
-            near = np.isin(h[np.clip(at, 0, len(h) - 1)], words) & fit
-            for k, _, at in own[near.sum(1) >= len(words) - most].tolist():
-                if found.get((k, n), most + 1) == 0:
-                    continue
-                a, b = max(first[k], at - 2 * most), min(first[k + 1], at + len(words) + 2 * most)
+        edges = np.flatnonzero(np.append(True, hits[1:, 0] != hits[:-1, 0])) if len(hits) else hits[:, 0]
+        for own in np.split(hits, edges[1:]):
+            if len(own):
+                n = int(own[0, 0])
+                wide = max(1, block // (len(self.items[n][1]) + 2 * self.most[n]))
+                for i in range(0, len(own), wide):
+                    self._verify(n, own[i : i + wide, 1:], h, first, found)
+
+    def _verify(self, n: int, own: np.ndarray, h: np.ndarray, first: np.ndarray, found: dict[tuple[int, int], int]) -> None:
+        words, most = self.items[n][1], self.most[n]
+        # A match holds all but ``most`` of the item's words.
+        at = own[:, 1, None] + np.arange(-most, len(words) + most)
+        fit = (at >= first[own[:, 0], None]) & (at < first[own[:, 0] + 1, None])
+        near = np.isin(h[np.clip(at, 0, len(h) - 1)], words) & fit
+        # Places whose surroundings overlap are compared as one stretch, so repeated words cost no more than the text's length.
+        stretches: list[list[int]] = []
+        for k, at in own[near.sum(1) >= len(words) - most].tolist():
+            a, b = max(first[k], at - 2 * most), min(first[k + 1], at + len(words) + 2 * most)
+            if stretches and stretches[-1][0] == k and a <= stretches[-1][2]:
+                stretches[-1][2] = max(b, stretches[-1][2])
+            else:
+                stretches.append([k, a, b])
+        for k, a, b in stretches:
+            if (k, n) not in found:
                 edits = edit_distance_within(words, h[a:b])
-                if edits <= most and edits < found.get((k, n), most + 1):
+                if edits <= most:
                     found[k, n] = edits
-        return found
 
 
 class BenchmarkIndex:
     def __init__(self, items: list[tuple[int, np.ndarray, list[bytes]]], anchors: int, repeats: int, samples: int, max_edit: float, min_words: int):
         self.words = [w for _, _, w in items]
         items = [(i, h) for i, h, _ in items]
-        short = [n for n, (_, words) in enumerate(items) if len(words) < max(SHORT, min_words)]
-        self.short = ShortItems(items, short, {n: int(max_edit * len(items[n][1])) if len(items[n][1]) >= min_words else 0 for n in short})
-        self.items, self.max_edit = items, max_edit
+        self.items, self.most = items, [int(max_edit * len(words)) if len(words) >= min_words else 0 for _, words in items]
+        self.parts = Parts(items, self.most)
         # The walks below see longer items only; numbers of items stay.
         items = [(i, words if len(words) >= max(SHORT, min_words) else words[:0]) for i, words in items]
         self.embedding = Embedding(repeats, samples)
@@ -210,18 +220,21 @@ class BenchmarkIndex:
         found = {}
         for k, n in self.near(words.h, words.first):
             edits = exact_edits(self.words[n], self.items[n][1], words, k)
-            if edits <= self.most(n):
+            if edits <= self.most[n]:
                 found[k, n] = edits
         return found
 
-    def most(self, n: int) -> int:
-        return self.short.most[n] if n in self.short.most else int(self.max_edit * len(self.items[n][1]))
-
     def near(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
-        """{(row, item number): edits} of the rows' matches as hashes tell."""
+        """{(row, item number): edits} of one match of each row and item that match as hashes tell: by walks, then by parts at every place."""
+        found = self.walked(h, first)
+        self.parts.search(h, first, found)
+        return found
+
+    def walked(self, h: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], int]:
+        """What walks from anchor words meet."""
+        found: dict[tuple[int, int], int] = {}
         hot = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
         hot = hot[np.isin(h[hot], self.anchor_words)]
-        found = self.short.search(h, first)
         if not len(hot):
             return found
         row = np.searchsorted(first, hot, side="right") - 1
@@ -240,7 +253,7 @@ class BenchmarkIndex:
         item = self.item_of[pairs[:, 1]]
         where = hot[pairs[:, 0]] - self.offset[pairs[:, 1]]
         for k, n, at in np.unique(np.stack([row[pairs[:, 0]], item, where], 1), axis=0).tolist():
-            words, most = self.items[n][1], self.most(n)
+            words, most = self.items[n][1], self.most[n]
             if found.get((k, n), most + 1) == 0:
                 continue
             a, b = max(first[k], at - 2 * most), min(first[k + 1], at + len(words) + 2 * most)

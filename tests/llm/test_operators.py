@@ -381,6 +381,43 @@ def test_decontaminate_words(monkeypatch):
         assert set(index.near(near.h, near.first)) == {(0, 0), (1, 0)} and index.search(near) == {(0, 0): 0}
 
 
+def test_decontaminate_every_place():
+    """A match counts whichever words were edited: all of an item's rarest words too, at any place, and as brute force tells."""
+    rnd = random.Random(21)
+    words = lambda *t: decontam.read_words(pa.RecordBatch.from_pydict({"text": list(t)}))
+
+    def index(items):
+        own = words(*items)
+        return decontam.BenchmarkIndex([(i, own.h[a:b], [own.word(j) for j in range(a, b)]) for i, (a, b) in enumerate(zip(own.first, own.first[1:]))], 6, 6, 5, 0.2, 6)
+
+    item = [f"word{i}" for i in range(40)]
+    rare = index([" ".join(item)])
+    gone = [w if i >= 6 else f"edited{i}" for i, w in enumerate(item)]
+    found = rare.search(words("so it goes " + " ".join(gone) + " and on", " ".join(gone[:-3]), "nothing here", ""))
+    assert found == {(0, 0): 6}
+
+    items = [[rnd.choice(WORDS) for _ in range(rnd.randint(6, 60))] for _ in range(40)]
+    texts = []
+    for i in range(160):
+        own, most = list(items[i % 40]), int(0.2 * len(items[i % 40]))
+        for _ in range(most):
+            at = rnd.randrange(len(own))
+            own[at : at + rnd.randint(0, 1)] = rnd.choice([[], ["edited"], [rnd.choice(WORDS)]])
+        texts.append([rnd.choice(WORDS) for _ in range(rnd.randint(0, 30))] + own + [rnd.choice(WORDS) for _ in range(rnd.randint(0, 30))])
+    texts.append([items[0][0]] * 3000)
+    all_items, w = index([" ".join(x) for x in items]), words(*(" ".join(t) for t in texts))
+    want = {}
+    for k in range(len(texts)):
+        for n, (_, h) in enumerate(all_items.items):
+            edits = decontam.edit_distance_within(h, w.h[w.first[k] : w.first[k + 1]])
+            if edits <= int(0.2 * len(h)):
+                want[k, n] = edits
+    assert len(want) >= 100 and all_items.search(w) == want
+    blocks = {}
+    all_items.parts.search(w.h, w.first, blocks, block=64)
+    assert set(blocks) == set(want)
+
+
 def test_toxicity_swaps(spark):
     rnd = random.Random(6)
     rows, labels = [], []
