@@ -4,7 +4,7 @@ A byte goes if it is covered by a string of ``size`` bytes that also starts in a
 strings of that size are windows of their texts. A window's smallest 20-byte hash (its minimiser) is the same wherever
 the window occurs, so windows meet by it:
 
-1. Minimisers that occur in two documents are marked in a bit filter of fixed size.
+1. Minimisers that occur in two documents are marked in a bit filter, which grows with their number up to 128 MB.
 2. Stretches of windows whose minimiser is marked (*pieces*, at most ``RUN`` windows each) go to the bucket of their minimiser.
 3. There the pieces are the collection: one symbol of every piece is inserted a round, which updates the Burrows-Wheeler
    transform and the common prefixes of neighbouring suffixes (``column_order``). After as many rounds as the longest piece has
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,15 @@ from ..session import ship, through_table
 from .common import filter_by, map_arrow, mix64, release_memory, slices, span_hashes, texts, utf8_buffers
 
 GRAM, RUN, BUCKETS = 20, 64, 1024
+#: Bits for each marked minimiser, so that about one in twenty others is let through, and the most bits in all.
+KEY_BITS, MOST_BITS = 8, 1 << 30
+
+
+class Marks(NamedTuple):
+    """A bit filter for each bucket of minimisers, end to end; ``first``: where each begins, in bytes (BUCKETS + 1 entries)."""
+
+    data: np.ndarray
+    first: np.ndarray
 
 
 def minimisers(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,10 +65,10 @@ def minimisers(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     return start, doc, mix64(low[start] + np.uint64(0x9E3779B97F4A7C15))
 
 
-def shared_filter(docs: DataFrame, size: int, filter_bits: int) -> np.ndarray:
-    """One row of bits for each bucket of minimisers: those that more than one document holds."""
+def shared_filter(docs: DataFrame, size: int, filter_bits: int) -> Marks:
+    """Minimisers that more than one document holds. ``filter_bits`` are the least, for all buckets together; more where many are marked."""
     ship(docs.sparkSession)
-    each = filter_bits // BUCKETS
+    least, most = filter_bits // BUCKETS, max(filter_bits, MOST_BITS) // BUCKETS
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,6 +97,7 @@ def shared_filter(docs: DataFrame, size: int, filter_bits: int) -> np.ndarray:
         full[:, :5] = raw
         h = np.sort(full.view(np.uint64).ravel())
         h = h[1:][h[1:] == h[:-1]]
+        each = max(least, min(most, 1 << (KEY_BITS * len(h)).bit_length()))
         out = np.zeros(each, np.bool_)
         for p in filter_places(h, each):
             out[p] = True
@@ -105,23 +116,23 @@ def shared_filter(docs: DataFrame, size: int, filter_bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([bits(held)], pa.binary())], ["bucket", "bits"])
 
     rows = docs.mapInArrow(prints, "bucket int, data binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket int, bits binary")
-    out = np.zeros((BUCKETS, each // 8), np.uint8)
+    out = [np.zeros(1, np.uint8)] * BUCKETS
     for r in rows.toLocalIterator():
         out[r["bucket"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
+    return Marks(np.concatenate(out), np.cumsum([0] + [len(x) for x in out]))
 
 
-def filter_places(h: np.ndarray, each: int) -> list[np.ndarray]:
-    mixed = mix64(h)
-    return [(mixed % np.uint64(each)).astype(np.int64), ((mixed >> np.uint64(32)) % np.uint64(each)).astype(np.int64)]
+def filter_places(h: np.ndarray, each: int | np.ndarray) -> list[np.ndarray]:
+    mixed, each = mix64(h), np.asarray(each).astype(np.uint64)
+    return [(mixed % each).astype(np.int64), ((mixed >> np.uint64(32)) % each).astype(np.int64)]
 
 
-def marked(low: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def marked(low: np.ndarray, bits: Marks) -> np.ndarray:
     bucket = (low >> np.uint64(54)).astype(np.int64)
     h = (low >> np.uint64(14)) & np.uint64((1 << 40) - 1)
     ok = np.ones(len(low), np.bool_)
-    for p in filter_places(h, bits.shape[1] * 8):
-        ok &= (bits[bucket, p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1).astype(np.bool_)
+    for p in filter_places(h, np.diff(bits.first)[bucket] * 8):
+        ok &= (bits.data[bits.first[bucket] + (p >> 3)] >> (7 - (p & 7)).astype(np.uint8) & 1).astype(np.bool_)
     return ok
 
 
@@ -336,13 +347,14 @@ class Pieces:
         return out
 
 
-def candidate_pieces(batch: pa.RecordBatch, size: int, bits: np.ndarray, shift: int) -> list[np.ndarray]:
+def candidate_pieces(batch: pa.RecordBatch, size: int, bits: Marks, shift: int) -> list[np.ndarray]:
     """Pieces of a batch: bucket, id, hash of the text, start, length and 64-bit hash of each, and all bytes end to end."""
     found: list[list[np.ndarray]] = []
     for part in slices(batch, most=1 << 20):
         raw, offsets = utf8_buffers(part.column("text"))
         start, doc, low = minimisers(raw, offsets, size)
-        ok = marked(low, bits) if len(low) else np.zeros(0, np.bool_)
+        runs = np.flatnonzero(np.append(True, low[1:] != low[:-1])) if len(low) else np.zeros(0, np.int64)  # neighbours mostly share theirs
+        ok = np.repeat(marked(low[runs], bits), np.diff(np.append(runs, len(low))))
         start, doc, low = start[ok], doc[ok], low[ok]
         if not len(low):
             continue

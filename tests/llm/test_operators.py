@@ -418,6 +418,17 @@ def test_decontaminate_every_place():
     assert set(blocks) == set(want)
 
 
+def test_repeats_filter_grows(spark):
+    """The filter of minimisers lets few others through, however many are marked; it starts from ``filter_bits``."""
+    rnd = random.Random(31)
+    rows = [(i, "".join(rnd.choice("abcdefgh") for _ in range(9000))) for i in range(60)]
+    bits = suffix_dedup.shared_filter(suffix_dedup._keyed(frame(spark, rows + [(i + 100, t) for i, t in rows])), 50, 1 << 13)
+    others = np.random.RandomState(1).randint(0, 1 << 62, 100_000, dtype=np.int64).astype(np.uint64) << np.uint64(2)
+    assert suffix_dedup.marked(others, bits).mean() < 0.15
+    held = suffix_dedup.minimisers(*common.utf8_buffers(pa.array([rows[0][1]])), 50)[2]
+    assert suffix_dedup.marked(held, bits).all()
+
+
 def test_toxicity_swaps(spark):
     rnd = random.Random(6)
     rows, labels = [], []
